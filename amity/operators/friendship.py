@@ -20,6 +20,9 @@ CROWDED_USERS = 1_000_000
 # about this size, each a separate join key.
 SLICE_ROWS = 200_000
 
+# A text of mutual friends holds about this many ids at most.
+LIST_SIZE = 1_000_000
+
 # Values of the column `listing` of a pair (x, y).
 X_LISTS_Y = 1
 Y_LISTS_X = 2
@@ -141,7 +144,8 @@ def closed_pairs(
     - `vw`: users w such that u is a mutual friend of v and w
 
     Together the three hold each (pair, mutual friend) exactly once. Friends
-    count as mutual only for pairs that list each other.
+    count as mutual only for pairs that list each other. `degree_u` and
+    `degree_v` are those of ranked_pairs.
     """
     ranked = ranked_pairs(pairs, limit)
     lists = _in_use(later_friends(ranked), "degree")
@@ -152,7 +156,9 @@ def closed_pairs(
         "u",
         "v",
         "listing",
-        F.pmod(F.xxhash64("u"), _slices("degree_v", slice_rows)).alias("slice"),
+        "degree_u",
+        "degree_v",
+        _slice_of("u", "degree_v", slice_rows).alias("slice"),
     )
     tails = lists.select(
         F.col("u").alias("v"),
@@ -161,7 +167,7 @@ def closed_pairs(
         F.col("listed_by").alias("v_listed_by"),
         F.explode(F.sequence(F.lit(0), _slices("degree", slice_rows) - 1)).alias("slice"),
     )
-    both = heads.join(tails, ["v", "slice"]).join(lists, "u")
+    both = heads.join(tails, ["v", "slice"]).join(lists.drop("degree"), "u")
 
     listing = F.col("listing")
     known_by_u = F.concat("mutual", "listed")
@@ -171,6 +177,8 @@ def closed_pairs(
     return both.select(
         "u",
         "v",
+        "degree_u",
+        "degree_v",
         F.when(
             listing == BOTH_LIST, id_set_intersection(known_by_u, known_by_v)
         ).alias("uv"),
@@ -208,36 +216,54 @@ def mutual_friend_counts(pairs: DataFrame, closed: DataFrame) -> DataFrame:
 
 
 def mutual_friend_rows(closed: DataFrame) -> DataFrame:
-    """(a, b, friend_id) for every pair of friends and each mutual friend."""
+    """(a, b, friend_id, crowd) for every pair of friends and each mutual friend.
+
+    `crowd` is the degree of the less crowded end: the pair has no more mutual
+    friends than that. It is 0 if that end is not crowded.
+    """
     u, v, w, role = F.col("u"), F.col("v"), F.col("w"), F.col("role")
-    roles = [
-        F.struct(F.lit(name).alias("role"), F.col(name).alias("ws"))
-        for name in ("uv", "uw", "vw")
-    ]
-    rows = closed.select("u", "v", F.inline(F.array(*roles))).select(
-        "u", "v", "role", F.explode("ws").alias("w")
+    roles = F.array(
+        *[
+            F.struct(F.lit(name).alias("role"), F.col(name).alias("ws"))
+            for name in ("uv", "uw", "vw")
+        ]
+    )
+    rows = closed.select("u", "v", "degree_u", "degree_v", F.inline(roles)).select(
+        "u", "v", "degree_u", "degree_v", "role", F.explode("ws").alias("w")
     )
     x = F.when(role == "vw", v).otherwise(u)
     y = F.when(role == "uv", v).otherwise(w)
     friend = F.when(role == "uv", w).when(role == "uw", v).otherwise(u)
+    crowd = F.when(role == "vw", F.col("degree_v")).otherwise(F.col("degree_u"))
     return rows.select(
         smaller_id(x, y).alias("a"),
         larger_id(x, y).alias("b"),
         friend.alias("friend_id"),
+        crowd.alias("crowd"),
     )
 
 
-def mutual_friend_lists(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+def mutual_friend_lists(
+    pairs: DataFrame, rows: DataFrame, list_size: int = LIST_SIZE
+) -> DataFrame:
     """(a, b, mutual_friends) with the ids ascending, joined by a comma and a blank.
 
-    A pair without rows gets an empty text.
+    A pair without rows gets an empty text. Pairs of which both ends have more
+    than `list_size` friends get several rows, each with some of the ids, so
+    that no task has to hold more than about `list_size` of them.
     """
-    nobody = pairs.select("a", "b", F.lit(None).cast("bigint").alias("friend_id"))
-    ids = F.array_sort(F.collect_list("friend_id"))
+    nobody = pairs.select(
+        "a", "b", F.lit(None).cast("bigint").alias("friend_id"), F.lit(0).alias("slice")
+    )
+    somebody = rows.select(
+        "a", "b", "friend_id", _slice_of("friend_id", "crowd", list_size).alias("slice")
+    )
+    ids = F.array_sort(F.collect_list("friend_id")).cast("array<string>")
     return (
-        nobody.unionByName(rows)
-        .groupBy("a", "b")
-        .agg(F.array_join(ids.cast("array<string>"), ", ").alias("mutual_friends"))
+        nobody.unionByName(somebody)
+        .groupBy("a", "b", "slice")
+        .agg(F.array_join(ids, ", ").alias("mutual_friends"))
+        .drop("slice")
     )
 
 
@@ -268,5 +294,9 @@ def _share(x: Column, ys: Column, n: Column) -> Column:
     return F.struct(x.alias("x"), ys.alias("ys"), n.alias("n"))
 
 
-def _slices(degree: str, slice_rows: int) -> Column:
-    return F.greatest(F.lit(1), F.ceil(F.col(degree) / slice_rows)).cast("int")
+def _slices(degree: str, size: int) -> Column:
+    return F.greatest(F.lit(1), F.ceil(F.col(degree) / size)).cast("int")
+
+
+def _slice_of(key: str, degree: str, size: int) -> Column:
+    return F.pmod(F.xxhash64(key), _slices(degree, size)).cast("int")

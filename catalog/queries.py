@@ -152,7 +152,8 @@ def having_count(spark, sf_dir):
 
 def join_pair_adjacency(spark, sf_dir):
     pairs = friendship.friend_pairs(views.friend_arcs(spark, sf_dir))
-    return friendship.mutual_friend_rows(friendship.closed_pairs(pairs))
+    rows = friendship.mutual_friend_rows(friendship.closed_pairs(pairs))
+    return rows.select("a", "b", "friend_id")
 
 
 def join_friend_profile(spark, sf_dir):
