@@ -46,30 +46,27 @@ def friend_pairs(edges: DataFrame) -> DataFrame:
     """
     user, friend = F.col("user_id"), F.col("friend_id")
     return (
-        edges.where(user != friend)
-        .groupBy(smaller_id(user, friend).alias("a"), larger_id(user, friend).alias("b"))
-        .agg(
-            F.bit_or(F.when(user < friend, X_LISTS_Y).otherwise(Y_LISTS_X)).alias(
-                "listing"
-            )
+        edges.select(
+            smaller_id(user, friend).alias("a"),
+            larger_id(user, friend).alias("b"),
+            F.when(user < friend, X_LISTS_Y).otherwise(Y_LISTS_X).alias("listing"),
         )
+        .where(F.col("a") < F.col("b"))
+        .groupBy("a", "b")
+        .agg(F.bit_or("listing").alias("listing"))
     )
 
 
 def canonical_pairs(pairs: DataFrame) -> DataFrame:
-    """Pairs given in any order and number as distinct (a, b) with a < b."""
-    return (
-        pairs.where(F.col("a") != F.col("b"))
-        .select(
-            smaller_id(F.col("a"), F.col("b")).alias("a"),
-            larger_id(F.col("a"), F.col("b")).alias("b"),
-        )
-        .distinct()
-    )
+    """Pairs given in any order as (a, b) with a < b. Repeated pairs are kept."""
+    return pairs.select(
+        smaller_id(F.col("a"), F.col("b")).alias("a"),
+        larger_id(F.col("a"), F.col("b")).alias("b"),
+    ).where(F.col("a") < F.col("b"))
 
 
 def in_pair_set(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Rows whose (a, b) is one of the given pairs."""
+    """Rows whose (a, b) is one of the given pairs, however often it is given."""
     return rows.join(canonical_pairs(pairs), ["a", "b"], "left_semi")
 
 
@@ -252,7 +249,7 @@ def mutual_friend_lists(
     than `list_size` friends get several rows, each with some of the ids, so
     that no task has to hold more than about `list_size` of them.
     """
-    nobody = pairs.select(
+    nobody = _in_use(pairs, "listing").select(
         "a", "b", F.lit(None).cast("bigint").alias("friend_id"), F.lit(0).alias("slice")
     )
     somebody = rows.select(
