@@ -164,27 +164,28 @@ def closed_pairs(
         F.col("listed_by").alias("v_listed_by"),
         F.explode(F.sequence(F.lit(0), _slices("degree", slice_rows) - 1)).alias("slice"),
     )
-    both = heads.join(tails, ["v", "slice"]).join(lists.drop("degree"), "u")
+    met = heads.join(tails, ["v", "slice"]).join(lists.drop("degree"), "u")
 
-    listing = F.col("listing")
-    known_by_u = F.concat("mutual", "listed")
+    # In a graph in which friends list each other `both` is all there is, so it
+    # is found once and the rest is looked for only where it can be.
+    both = met.withColumn("both", id_set_intersection(F.col("mutual"), F.col("v_mutual")))
     known_by_v = F.concat("v_mutual", "v_listed")
-    knowing_u = F.concat("mutual", "listed_by")
-    knowing_v = F.concat("v_mutual", "v_listed_by")
+    uv = F.concat(
+        "both",
+        _found("mutual", "v_listed"),
+        _found("listed", known_by_v),
+    )
+    uw = F.concat("both", _found("mutual", "v_listed_by"))
+    vw = F.concat("both", _found("listed_by", "v_mutual"))
+    listing = F.col("listing")
     return both.select(
         "u",
         "v",
         "degree_u",
         "degree_v",
-        F.when(
-            listing == BOTH_LIST, id_set_intersection(known_by_u, known_by_v)
-        ).alias("uv"),
-        F.when(
-            listing != Y_LISTS_X, id_set_intersection(F.col("mutual"), knowing_v)
-        ).alias("uw"),
-        F.when(
-            listing != X_LISTS_Y, id_set_intersection(knowing_u, F.col("v_mutual"))
-        ).alias("vw"),
+        F.when(listing == BOTH_LIST, uv).alias("uv"),
+        F.when(listing != Y_LISTS_X, uw).alias("uw"),
+        F.when(listing != X_LISTS_Y, vw).alias("vw"),
     )
 
 
@@ -287,6 +288,16 @@ def _in_use(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column) >= 0)
 
 
+def _found(left: str, right: str | Column) -> Column:
+    """The ids found in both lists, not looked for if one of them is empty."""
+    right = F.col(right) if isinstance(right, str) else right
+    nothing = F.array().cast("array<bigint>")
+    return F.when(
+        (F.size(left) > 0) & (F.size(right) > 0),
+        id_set_intersection(F.col(left), right),
+    ).otherwise(nothing)
+
+
 def _share(x: Column, ys: Column, n: Column) -> Column:
     return F.struct(x.alias("x"), ys.alias("ys"), n.alias("n"))
 

@@ -17,12 +17,19 @@ GRAPHS = {
     "star": star_arcs(120),
 }
 
-# How many users may be crowded, and how long slices are.
-SETTINGS = [(1_000_000, 200_000), (50, 3), (3, 1), (1, 1)]
-
-
-@pytest.mark.parametrize("name", list(GRAPHS))
-@pytest.mark.parametrize("limit, slice_rows", SETTINGS)
+# Graph, how many users may be crowded, and how long slices are.
+CASES = [
+    ("random", 1_000_000, 200_000),
+    ("random", 50, 3),
+    ("random", 1, 1),
+    ("sparse", 1_000_000, 200_000),
+    ("sparse", 3, 1),
+    ("star", 1_000_000, 200_000),
+    ("star", 50, 3),
+]
+
+
+@pytest.mark.parametrize("name, limit, slice_rows", CASES)
 def test_counts_and_rows(spark, name, limit, slice_rows):
     arcs = GRAPHS[name]
     expected = mutual(arcs)
