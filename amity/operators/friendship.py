@@ -67,7 +67,16 @@ def canonical_pairs(pairs: DataFrame) -> DataFrame:
 
 def in_pair_set(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     """Rows whose (a, b) is one of the given pairs, however often it is given."""
-    return rows.join(canonical_pairs(pairs), ["a", "b"], "left_semi")
+    asked = canonical_pairs(pairs).distinct()
+    asked = asked.select(_spread("a").alias("asked_a"), F.col("b").alias("asked_b"))
+    same = (_spread("a") == F.col("asked_a")) & (F.col("b") == F.col("asked_b"))
+    return rows.join(asked, same, "left_semi")
+
+
+def lists_of(edges: DataFrame, users: DataFrame) -> DataFrame:
+    """The edges whose user_id is in `users`, however often it is there."""
+    asked = users.select("user_id").distinct().select(_spread("user_id").alias("asked"))
+    return edges.join(asked, _spread("user_id") == F.col("asked"), "left_semi")
 
 
 def crowded_users(pairs: DataFrame, limit: int = CROWDED_USERS) -> DataFrame:
@@ -288,6 +297,17 @@ def _in_use(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column) >= 0)
 
 
+def _spread(key: str) -> Column:
+    """The key of a filter join whose small side was made distinct before.
+
+    Joined on the column itself, that side would be used as it was shuffled to
+    make it distinct. Adaptive execution splits a key that holds much of the
+    other side only if both sides were shuffled for the join. With the
+    complement of the column they are, unless one is small enough to broadcast.
+    """
+    return F.bitwise_not(F.col(key))
+
+
 def _found(left: str, right: str | Column) -> Column:
     """The ids found in both lists, not looked for if one of them is empty."""
     right = F.col(right) if isinstance(right, str) else right

@@ -5,7 +5,7 @@ from pathlib import Path
 
 import pytest
 
-from amity.operators import people
+from amity.operators import friendship, people
 from amity.plans import questions
 from catalog import views
 from catalog.queries import QUERIES
@@ -129,6 +129,25 @@ def test_a_business_of_most_reviews_is_split(spark, no_broadcast, tmp_path):
     assert df.count() == 60_000
 
 
+def test_crowded_users_and_pairs_are_split_in_filters(spark, no_broadcast, tmp_path):
+    # User 0 holds a third of the rows on both sides.
+    path = str(tmp_path / "edges")
+    spark.range(90_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS user_id", "id + 1 AS friend_id"
+    ).repartition(20).write.parquet(path)
+    arcs = spark.read.parquet(path)
+    own = friendship.lists_of(arcs, arcs)
+    assert "skew=true" in final_plan(own)
+    assert own.count() == arcs.count()
+
+    rows = arcs.selectExpr(
+        "user_id AS a", "IF(user_id = 0, 1, friend_id) AS b", "friend_id"
+    )
+    kept = friendship.in_pair_set(rows, rows)
+    assert "skew=true" in final_plan(kept)
+    assert kept.count() == rows.where("a < b").count() == rows.count()
+
+
 def test_library_runs_no_actions():
     words = r"\.(collect|toPandas|rdd|localCheckpoint|count|first|take|cache|persist)\b\(?"
     for path in (ROOT / "amity").rglob("*.py"):
