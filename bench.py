@@ -15,7 +15,7 @@ from catalog.queries import QUERIES
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-ROUNDS = int(os.environ.get("BENCH_ROUNDS", "2"))
+ROUNDS = int(os.environ.get("BENCH_ROUNDS", "3"))
 QUESTIONS = [name for name in QUERIES if name.startswith("q")]
 
 
