@@ -204,9 +204,9 @@ def spans(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(id, hash, starts, ends): bytes of each text covered by repeated strings.
+    """(id, hash, spans): bytes of each text covered by repeated strings.
 
-    `docs` has `id`, `hash` (of the text) and `text`. Spans may overlap. Texts
+    `docs` has `_id`, `_hash` (of the text) and `text`. Spans may overlap. Texts
     without any are left out.
     """
 
@@ -216,8 +216,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             owner, start, count, key, times = stretches(texts, length)
             yield pd.DataFrame(
                 {
-                    "id": batch["id"].to_numpy()[owner],
-                    "hash": batch["hash"].to_numpy()[owner],
+                    "id": batch["_id"].to_numpy()[owner],
+                    "hash": batch["_hash"].to_numpy()[owner],
                     "start": start.astype(np.int32),
                     "size": (count + length - 1).astype(np.int32),
                     "key": key.astype(np.int64),
@@ -230,7 +230,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             )
 
     found = written(
-        docs.mapInPandas(cut, "id long, hash long, start int, size int, key long, grams long, digest binary"),
+        docs.select("_id", "_hash", "text").mapInPandas(cut, "id long, hash long, start int, size int, key long, grams long, digest binary"),
         "stretches",
     )
     again = found.groupBy("key").agg(F.sum("grams").alias("n")).where("n > 1").select(_spread("key").alias("of"))
@@ -266,10 +266,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         if held:
             yield _matched(held, length)
 
-    same = (F.col("id") == F.col("asked_id")) & (F.col("hash") == F.col("asked_hash"))
-    sent = docs.join(asked, same).select("text", "parts").mapInPandas(
-        send, "key long, digest binary, times long, part binary"
-    )
+    # All columns stay in, so that this shuffle of texts is the same as the one
+    # for the join of the result and is made once.
+    same = (F.col("_id") == F.col("asked_id")) & (F.col("_hash") == F.col("asked_hash"))
+    sent = docs.join(asked, same).mapInPandas(send, "key long, digest binary, times long, part binary")
     covered = (
         sent.repartition(F.col("key"))
         .sortWithinPartitions("key", "digest")
@@ -323,12 +323,10 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def _with_spans(docs: DataFrame, length: int) -> DataFrame:
-    # Both joins of texts have these columns, so their shuffle is made once.
     keyed = docs.select(
         "*", _id(docs).alias("_id"), F.xxhash64(docs["text"]).alias("_hash")
     )
-    few = keyed.select(F.col("_id").alias("id"), F.col("_hash").alias("hash"), "text")
-    found = repeated_spans(few, length).select(
+    found = repeated_spans(keyed, length).select(
         F.col("id").alias("_of"), F.col("hash").alias("_of_hash"), F.col("spans").alias("_spans")
     )
     same = (F.col("_id") == F.col("_of")) & (F.col("_hash") == F.col("_of_hash"))
