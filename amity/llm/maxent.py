@@ -2,8 +2,8 @@
 
 The model predicts a word in two steps: its class, by a softmax over hashed
 features of the words before it, and the word within its class, by counts.
-Features are the previous word, the pair of previous words, and skips to the
-second and third word back. Weights are trained in rounds: each round takes a
+Features are the previous word, the pair of previous words, and a skip to the
+second word back. Weights are trained in rounds: each round takes a
 share of the documents, every task follows the gradient from the common
 weights on its own documents, and what the tasks learned is averaged.
 
@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from . import packed
 from .common import remainder, shuffle_partitions, slices, written
 
-CLASSES = 32
+CLASSES = 24
 TABLE_BITS = 14
-FEATURES = 4
+FEATURES = 3
 ROUNDS = 2
 RATE = 0.5
 STEP_TOKENS = 4096
@@ -32,7 +32,7 @@ WEIGHT_ROWS = 1 << 10
 ADDED = 0.1
 
 END = b"\n"
-_SKIPS = ((1, 0), (1, 2), (2, 0), (3, 0))
+_SKIPS = ((1, 0), (1, 2), (2, 0))
 
 
 def tokens(texts: pd.Series) -> tuple[np.ndarray, list[bytes], np.ndarray]:
@@ -64,12 +64,12 @@ def features(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         moved = np.concatenate([np.zeros(min(n, len(hashes)), np.uint64), hashes[: max(0, len(hashes) - n)]])
         return np.where(place >= n, moved, np.uint64(n))
 
-    out = np.empty((len(hashes), FEATURES), np.int32)
+    out = np.empty((len(hashes), FEATURES), np.uint16)
     for i, (first, second) in enumerate(_SKIPS):
         key = back(first) * np.uint64(2 * i + 3)
         if second:
             key = key + packed.mixed(back(second))
-        out[:, i] = (packed.mixed(key + np.uint64(i)) >> np.uint64(64 - TABLE_BITS)).astype(np.int32)
+        out[:, i] = (packed.mixed(key + np.uint64(i)) >> np.uint64(64 - TABLE_BITS)).astype(np.uint16)
     return out
 
 
@@ -146,8 +146,9 @@ def _step(w: np.ndarray, b: np.ndarray, rows: np.ndarray, target: np.ndarray, us
     b -= RATE * error.mean(axis=0)
     flat = rows.T.reshape(-1)
     order = np.argsort(flat, kind="stable")
-    first = np.flatnonzero(np.diff(flat[order], prepend=-1))
-    touched = flat[order][first]
+    flat = flat[order].astype(np.int64)
+    first = np.flatnonzero(np.diff(flat, prepend=-1))
+    touched = flat[first]
     sums = np.add.reduceat(error[order % len(target)], first, axis=0)
     used[touched] += np.diff(np.append(first, len(order)))
     w[touched] -= RATE * sums / (np.sqrt(used[touched]) * 2 + 1)[:, None]
