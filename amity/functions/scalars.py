@@ -33,8 +33,17 @@ def larger_id(left: Column, right: Column) -> Column:
 
 
 def parse_dob(text: Column) -> Column:
-    """Month/day/year text as date, one or two digits each; NULL if unreadable."""
-    return F.try_to_date(text, "M/d/yyyy")
+    """Month/day/year at the start of a text as date; NULL if unreadable.
+
+    Numbers past the end of a year or month roll over, as lenient parsers do:
+    13/45/1990 is 45 days into January 1991. What follows the year is ignored.
+    """
+    month, day, year = (
+        F.regexp_extract(text, r"^\s*(\d{1,4})/(\d{1,4})/(\d{1,4})(?!\d)", i).try_cast("int")
+        for i in (1, 2, 3)
+    )
+    start = F.make_date(F.when(year > 0, year), F.lit(1), F.lit(1))
+    return F.date_add(F.add_months(start, month - 1), day - 1)
 
 
 def yyyymmdd(date: Column) -> Column:

@@ -13,16 +13,10 @@ from pyspark.sql import functions as F
 
 from ..functions import id_set_intersection, larger_id, list_length, smaller_id
 
-# At most this many users are broadcast with their number of friends.
-CROWDED_USERS = 1_000_000
-
 # A user met as the far end of more pairs than this is looked up in slices of
 # about this size, each a separate join key.
 SLICE_ROWS = 200_000
 
-# A text of mutual friends holds about this many ids at most.
-LIST_SIZE = 1_000_000
-
 # Values of the column `listing` of a pair (x, y).
 X_LISTS_Y = 1
 Y_LISTS_X = 2
@@ -79,39 +73,29 @@ def lists_of(edges: DataFrame, users: DataFrame) -> DataFrame:
     return edges.join(asked, _spread("user_id") == F.col("asked"), "left_semi")
 
 
-def crowded_users(pairs: DataFrame, limit: int = CROWDED_USERS) -> DataFrame:
-    """(user_id, degree) of users in more than 1/limit of all pair ends.
-
-    There are fewer than `limit` of them whatever the data, so the result can
-    be broadcast.
-    """
-    pairs = _in_use(pairs, "listing")
-    degrees = (
-        pairs.select(F.explode(F.array("a", "b")).alias("user_id"))
-        .groupBy("user_id")
-        .agg(F.count("*").alias("degree"))
-    )
-    ends = pairs.agg(2 * F.count("*")).scalar()
-    return degrees.where(F.col("degree") > ends / limit)
+def degrees(pairs: DataFrame) -> DataFrame:
+    """(user_id, degree): in how many pairs each user is."""
+    ends = _in_use(pairs, "listing").select(F.explode(F.array("a", "b")).alias("user_id"))
+    return ends.groupBy("user_id").agg(F.count("*").alias("degree"))
 
 
-def ranked_pairs(pairs: DataFrame, limit: int = CROWDED_USERS) -> DataFrame:
+def ranked_pairs(pairs: DataFrame) -> DataFrame:
     """Pairs as (u, v, listing, degree_u, degree_v), u the less crowded end.
 
-    Users are ordered by degree, those that are not crowded counting as 0, and
-    then by id. Seen from any user at most max(sqrt(2m), 2m/limit) friends come
-    later in this order (m pairs): a crowded user has few that are more
-    crowded. Lists of later friends therefore stay short even if one user is a
-    friend of everybody.
+    Users are ordered by degree and then by id. Seen from any user at most
+    sqrt(2m) friends come later in this order (m pairs): a crowded user has few
+    that are more crowded. Lists of later friends therefore stay short even if
+    one user is a friend of everybody.
     """
-    crowd = crowded_users(pairs, limit)
-    degree_a = F.coalesce(F.col("degree_a"), F.lit(0))
-    degree_b = F.coalesce(F.col("degree_b"), F.lit(0))
-    a_first = degree_a <= degree_b
+    crowd = degrees(pairs)
+    of_a = crowd.select(_spread("user_id").alias("key_a"), F.col("degree").alias("degree_a"))
+    of_b = crowd.select(_spread("user_id").alias("key_b"), F.col("degree").alias("degree_b"))
+    degree_a, degree_b = F.col("degree_a"), F.col("degree_b")
+    a_first = F.struct(degree_a, F.col("a")) < F.struct(degree_b, F.col("b"))
     listing = F.col("listing")
     return (
-        pairs.join(F.broadcast(crowd.toDF("a", "degree_a")), "a", "left")
-        .join(F.broadcast(crowd.toDF("b", "degree_b")), "b", "left")
+        pairs.join(of_a, _spread("a") == F.col("key_a"))
+        .join(of_b, _spread("b") == F.col("key_b"))
         .select(
             F.when(a_first, F.col("a")).otherwise(F.col("b")).alias("u"),
             F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("v"),
@@ -135,11 +119,7 @@ def later_friends(ranked: DataFrame) -> DataFrame:
     )
 
 
-def closed_pairs(
-    pairs: DataFrame,
-    limit: int = CROWDED_USERS,
-    slice_rows: int = SLICE_ROWS,
-) -> DataFrame:
+def closed_pairs(pairs: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Ranked pairs with the friends that close a triangle over them.
 
     One row per pair (u, v), u ranked first, where v has later friends. All
@@ -150,10 +130,9 @@ def closed_pairs(
     - `vw`: users w such that u is a mutual friend of v and w
 
     Together the three hold each (pair, mutual friend) exactly once. Friends
-    count as mutual only for pairs that list each other. `degree_u` and
-    `degree_v` are those of ranked_pairs.
+    count as mutual only for pairs that list each other.
     """
-    ranked = ranked_pairs(pairs, limit)
+    ranked = ranked_pairs(pairs)
     lists = _in_use(later_friends(ranked), "degree")
 
     # v may be a friend of everybody: its pairs are spread over slices and its
@@ -162,8 +141,6 @@ def closed_pairs(
         "u",
         "v",
         "listing",
-        "degree_u",
-        "degree_v",
         _slice_of("u", "degree_v", slice_rows).alias("slice"),
     )
     tails = lists.select(
@@ -173,7 +150,10 @@ def closed_pairs(
         F.col("listed_by").alias("v_listed_by"),
         F.explode(F.sequence(F.lit(0), _slices("degree", slice_rows) - 1)).alias("slice"),
     )
-    met = heads.join(tails, ["v", "slice"]).join(lists.drop("degree"), "u")
+    # u may have as many later friends as a list can have. The key made anew has
+    # both sides shuffled, so that adaptive execution can split such a user.
+    own = lists.select(_spread("u").alias("own"), "mutual", "listed", "listed_by")
+    met = heads.join(tails, ["v", "slice"]).join(own, _spread("u") == F.col("own"))
 
     # In a graph in which friends list each other `both` is all there is, so it
     # is found once and the rest is looked for only where it can be.
@@ -190,8 +170,6 @@ def closed_pairs(
     return both.select(
         "u",
         "v",
-        "degree_u",
-        "degree_v",
         F.when(listing == BOTH_LIST, uv).alias("uv"),
         F.when(listing != Y_LISTS_X, uw).alias("uw"),
         F.when(listing != X_LISTS_Y, vw).alias("vw"),
@@ -223,11 +201,7 @@ def mutual_friend_counts(pairs: DataFrame, closed: DataFrame) -> DataFrame:
 
 
 def mutual_friend_rows(closed: DataFrame) -> DataFrame:
-    """(a, b, friend_id, crowd) for every pair of friends and each mutual friend.
-
-    `crowd` is the degree of the less crowded end: the pair has no more mutual
-    friends than that. It is 0 if that end is not crowded.
-    """
+    """(a, b, friend_id) for every pair of friends and each mutual friend."""
     u, v, w, role = F.col("u"), F.col("v"), F.col("w"), F.col("role")
     roles = F.array(
         *[
@@ -235,42 +209,66 @@ def mutual_friend_rows(closed: DataFrame) -> DataFrame:
             for name in ("uv", "uw", "vw")
         ]
     )
-    rows = closed.select("u", "v", "degree_u", "degree_v", F.inline(roles)).select(
-        "u", "v", "degree_u", "degree_v", "role", F.explode("ws").alias("w")
+    rows = closed.select("u", "v", F.inline(roles)).select(
+        "u", "v", "role", F.explode("ws").alias("w")
     )
     x = F.when(role == "vw", v).otherwise(u)
     y = F.when(role == "uv", v).otherwise(w)
     friend = F.when(role == "uv", w).when(role == "uw", v).otherwise(u)
-    crowd = F.when(role == "vw", F.col("degree_v")).otherwise(F.col("degree_u"))
     return rows.select(
-        smaller_id(x, y).alias("a"),
-        larger_id(x, y).alias("b"),
-        friend.alias("friend_id"),
-        crowd.alias("crowd"),
+        smaller_id(x, y).alias("a"), larger_id(x, y).alias("b"), friend.alias("friend_id")
     )
 
 
-def mutual_friend_lists(
-    pairs: DataFrame, rows: DataFrame, list_size: int = LIST_SIZE
-) -> DataFrame:
+def asked_friends(edges: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The given pairs that are friends, and (a, b, friend_id) of their mutual friends.
+
+    Only pairs that list each other have mutual friends. For each of them the
+    list of the end that lists fewer users is looked up among the edges of the
+    other end; no row is made for a pair that is not asked for.
+    """
+    users = pairs.select(F.explode(F.array("a", "b")).alias("user_id"))
+    own = lists_of(edges, users).where(F.col("user_id") != F.col("friend_id")).distinct()
+    friends = in_pair_set(friend_pairs(own), pairs)
+    sizes = own.groupBy("user_id").agg(F.count("*").alias("size"))
+    of_a = sizes.select(_spread("user_id").alias("key_a"), F.col("size").alias("size_a"))
+    of_b = sizes.select(_spread("user_id").alias("key_b"), F.col("size").alias("size_b"))
+    a_first = F.col("size_a") <= F.col("size_b")
+    both = (
+        friends.where(F.col("listing") == BOTH_LIST)
+        .join(of_a, _spread("a") == F.col("key_a"))
+        .join(of_b, _spread("b") == F.col("key_b"))
+        .select(
+            "a",
+            "b",
+            F.when(a_first, F.col("a")).otherwise(F.col("b")).alias("shorter"),
+            F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("longer"),
+        )
+    )
+    listed = own.select(_spread("user_id").alias("owner"), "friend_id")
+    known = own.select(F.col("user_id").alias("knower"), _spread("friend_id").alias("known"))
+    rows = both.join(listed, _spread("shorter") == F.col("owner")).join(
+        known,
+        (F.col("longer") == F.col("knower")) & (_spread("friend_id") == F.col("known")),
+        "left_semi",
+    )
+    return friends, rows.select("a", "b", "friend_id")
+
+
+def mutual_friend_lists(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """(a, b, mutual_friends) with the ids ascending, joined by a comma and a blank.
 
-    A pair without rows gets an empty text. Pairs of which both ends have more
-    than `list_size` friends get several rows, each with some of the ids, so
-    that no task has to hold more than about `list_size` of them.
+    One row per pair; a pair without rows gets an empty text. The ids of a pair
+    have to fit a cell; mutual_friend_rows and asked_friends give them as rows.
     """
     nobody = _in_use(pairs, "listing").select(
-        "a", "b", F.lit(None).cast("bigint").alias("friend_id"), F.lit(0).alias("slice")
-    )
-    somebody = rows.select(
-        "a", "b", "friend_id", _slice_of("friend_id", "crowd", list_size).alias("slice")
+        "a", "b", F.lit(None).cast("bigint").alias("friend_id")
     )
     ids = F.array_sort(F.collect_list("friend_id")).cast("array<string>")
     return (
-        nobody.unionByName(somebody)
-        .groupBy("a", "b", "slice")
+        nobody.unionByName(rows)
+        .groupBy("a", "b")
         .agg(F.array_join(ids, ", ").alias("mutual_friends"))
-        .drop("slice")
     )
 
 

@@ -161,24 +161,6 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
                  FROM common c LEFT JOIN profiles p ON c.friend_id = p.user_id) t""",
         ("common", "profiles"),
     ),
-    # Friends in the order in which the graph is walked: by number of friends,
-    # where below a millionth of all pair ends counts as 0, then by id.
-    "degrees": (
-        """SELECT user_id, CASE WHEN d > total / 1000000.0 THEN d ELSE 0 END AS d
-           FROM (SELECT user_id, count(*) AS d
-                 FROM (SELECT a AS user_id FROM pairs UNION ALL SELECT b FROM pairs) ends
-                 GROUP BY user_id) g
-           CROSS JOIN (SELECT 2 * count(*) AS total FROM pairs) t""",
-        ("pairs",),
-    ),
-    "ranked": (
-        """SELECT CASE WHEN x.d <= y.d THEN a ELSE b END AS u,
-                  CASE WHEN x.d <= y.d THEN b ELSE a END AS v, listing
-           FROM pairs
-           JOIN degrees x ON a = x.user_id
-           JOIN degrees y ON b = y.user_id""",
-        ("pairs", "degrees"),
-    ),
 }
 
 
@@ -255,7 +237,11 @@ ORACLE: dict[str, str] = {
         "businesses", "SELECT * FROM businesses WHERE contains(full_address, 'ring')"
     ),
     "having_count": _sql("common"),
-    "join_pair_adjacency": _sql("mutual"),
+    "join_pair_adjacency": _sql(
+        "mutual",
+        "SELECT m.* FROM mutual m JOIN asked q ON m.a = q.a AND m.b = q.b",
+        "asked",
+    ),
     "join_friend_profile": _sql(
         "edges",
         """SELECT e.user_id, e.friend_id, p.first_name || ': ' || p.dob AS label
@@ -290,14 +276,13 @@ ORACLE: dict[str, str] = {
     "topk_avg_stars": _sql("top_rated"),
     "topk_max_age": _sql("top_ages"),
     "set_array_intersect": _sql(
-        "ranked",
-        """SELECT r.u, r.v, string_agg(x.v, ', ' ORDER BY x.v) AS common_later
-           FROM ranked r
-           JOIN ranked x ON x.u = r.u AND x.listing & CASE WHEN x.u < x.v THEN 1 ELSE 2 END > 0
-           JOIN ranked y ON y.u = r.v AND y.v = x.v
-                        AND y.listing & CASE WHEN y.u < y.v THEN 1 ELSE 2 END > 0
-           WHERE r.listing = 3
-           GROUP BY r.u, r.v""",
+        "edges",
+        """SELECT q.a, q.b, string_agg(x.friend_id, ', ' ORDER BY x.friend_id) AS common
+           FROM asked q
+           JOIN edges x ON x.user_id = q.a
+           JOIN edges y ON y.user_id = q.b AND y.friend_id = x.friend_id
+           GROUP BY q.a, q.b""",
+        "asked",
     ),
     "fn_split": _sql(
         "reviews",

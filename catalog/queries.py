@@ -151,9 +151,10 @@ def having_count(spark, sf_dir):
 
 
 def join_pair_adjacency(spark, sf_dir):
-    pairs = friendship.friend_pairs(views.friend_arcs(spark, sf_dir))
-    rows = friendship.mutual_friend_rows(friendship.closed_pairs(pairs))
-    return rows.select("a", "b", "friend_id")
+    _, rows = friendship.asked_friends(
+        views.friend_arcs(spark, sf_dir), views.asked_pairs(spark, sf_dir)
+    )
+    return rows
 
 
 def join_friend_profile(spark, sf_dir):
@@ -234,12 +235,20 @@ def topk_max_age(spark, sf_dir):
 
 
 def set_array_intersect(spark, sf_dir):
-    pairs = friendship.friend_pairs(views.friend_arcs(spark, sf_dir))
-    ids = F.array_sort("uv").cast("array<string>")
+    asked = friendship.canonical_pairs(views.asked_pairs(spark, sf_dir)).distinct()
+    lists = (
+        views.friend_edges(spark, sf_dir)
+        .groupBy("user_id")
+        .agg(F.collect_list("friend_id").alias("friends"))
+    )
+    of_a = lists.select(F.col("user_id").alias("a"), F.col("friends").alias("a_friends"))
+    of_b = lists.select(F.col("user_id").alias("b"), F.col("friends").alias("b_friends"))
+    ids = F.array_sort(fn.id_set_intersection(F.col("a_friends"), F.col("b_friends")))
     return (
-        friendship.closed_pairs(pairs)
-        .where(F.size("uv") > 0)
-        .select("u", "v", F.array_join(ids, ", ").alias("common_later"))
+        asked.join(of_a, "a")
+        .join(of_b, "b")
+        .select("a", "b", F.array_join(ids.cast("array<string>"), ", ").alias("common"))
+        .where(F.col("common") != "")
     )
 
 

@@ -57,10 +57,8 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_returnflag"
     )
-    # Both tables grow alike, so on large data this is a merge join. Asking for
-    # it makes the plan on small data the same.
     return lines.join(
-        orders.hint("merge"), lines.l_orderkey == orders.o_orderkey
+        orders, lines.l_orderkey == orders.o_orderkey
     ).select(
         customer_id(F.col("o_custkey")).alias("customer"),
         supplier_id(F.col("l_suppkey")).alias("supplier"),
@@ -185,7 +183,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     stars = F.when(F.col("l_tax") == 0, "x").otherwise(F.col("l_quantity").cast("string"))
     return lines.join(
-        orders.hint("merge"), lines.l_orderkey == orders.o_orderkey
+        orders, lines.l_orderkey == orders.o_orderkey
     ).select(
         (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("review_id"),
         F.col("o_custkey").alias("user_id"),

@@ -17,24 +17,16 @@ GRAPHS = {
     "star": star_arcs(120),
 }
 
-# Graph, how many users may be crowded, and how long slices are.
-CASES = [
-    ("random", 1_000_000, 200_000),
-    ("random", 50, 3),
-    ("random", 1, 1),
-    ("sparse", 1_000_000, 200_000),
-    ("sparse", 3, 1),
-    ("star", 1_000_000, 200_000),
-    ("star", 50, 3),
-]
-
-
-@pytest.mark.parametrize("name, limit, slice_rows", CASES)
-def test_counts_and_rows(spark, name, limit, slice_rows):
+# Graph, and how long slices are.
+CASES = [("random", 200_000), ("random", 1), ("sparse", 1), ("star", 200_000), ("star", 3)]
+
+
+@pytest.mark.parametrize("name, slice_rows", CASES)
+def test_counts_and_rows(spark, name, slice_rows):
     arcs = GRAPHS[name]
     expected = mutual(arcs)
     pairs = friendship.friend_pairs(edges(spark, arcs))
-    closed = friendship.closed_pairs(pairs, limit, slice_rows)
+    closed = friendship.closed_pairs(pairs, slice_rows)
 
     counts = friendship.mutual_friend_counts(pairs, closed).collect()
     assert len(counts) == len(expected)
@@ -46,25 +38,16 @@ def test_counts_and_rows(spark, name, limit, slice_rows):
     assert got == {(a, b, w) for (a, b), ws in expected.items() for w in ws}
 
 
-@pytest.mark.parametrize("list_size", [1_000_000, 7])
-def test_long_lists_are_continued_on_further_rows(spark, list_size):
+def test_each_pair_has_one_row(spark):
     arcs = GRAPHS["star"]
     expected = mutual(arcs)
     pairs = friendship.friend_pairs(edges(spark, arcs))
     rows = friendship.mutual_friend_rows(friendship.closed_pairs(pairs))
-    lists = friendship.mutual_friend_lists(pairs, rows, list_size).collect()
-    got = {}
-    for row in lists:
-        ids = [int(i) for i in row.mutual_friends.split(", ") if i]
-        assert ids == sorted(ids)
-        assert len(ids) < 4 * list_size
-        got.setdefault((row.a, row.b), []).extend(ids)
-    assert {p: set(ids) for p, ids in got.items()} == expected
-    assert sum(map(len, got.values())) == sum(map(len, expected.values()))
-    if list_size > 1000:
-        assert len(lists) == len(expected)
-    else:
-        assert sum((r.a, r.b) == (0, 1) for r in lists) > 1
+    lists = friendship.mutual_friend_lists(pairs, rows).collect()
+    assert len(lists) == len(expected)
+    assert {(r.a, r.b): r.mutual_friends for r in lists} == {
+        p: ", ".join(map(str, sorted(ws))) for p, ws in expected.items()
+    }
 
 
 def test_asked_pairs(spark):
@@ -118,10 +101,16 @@ def test_lists_of_later_friends_are_short(spark):
     assert lists.agg(F.max(size)).first()[0] <= math.sqrt(2 * m)
 
 
-def test_crowded_users_are_fewer_than_the_limit(spark):
-    pairs = friendship.friend_pairs(edges(spark, GRAPHS["star"]))
-    for limit in (1, 3, 10, 1000):
-        assert friendship.crowded_users(pairs, limit).count() < limit
+def test_rows_are_made_for_asked_pairs_only(spark):
+    arcs = GRAPHS["random"]
+    expected = mutual(arcs)
+    asked = sorted(expected)[::5]
+    friends, rows = friendship.asked_friends(
+        edges(spark, arcs), spark.createDataFrame(asked, schemas.PAIRS)
+    )
+    assert sorted((r.a, r.b) for r in friends.collect()) == asked
+    got = [tuple(r) for r in rows.collect()]
+    assert sorted(got) == sorted((a, b, w) for a, b in asked for w in expected[a, b])
 
 
 def test_pairs_of_a_crowded_user_are_sliced(spark):

@@ -3,9 +3,11 @@
 import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from amity import schemas, sources
 from amity.functions import age_years, parse_dob
+from amity.operators import people
 from amity.plans import programs, questions
 
 AS_OF = datetime.date(2024, 12, 30)
@@ -186,13 +188,36 @@ def test_profiles(profiles):
 
 def test_ages(profiles):
     rows = profiles.select("user_id", age_years(profiles.dob, AS_OF)).collect()
-    assert dict(rows) == {0: 74, 1: 34, 2: 43, 3: 43, 4: 34, 7: -5, 8: None}
+    assert dict(rows) == {0: 74, 1: 34, 2: 43, 3: 43, 4: 34, 7: -5, 8: 33}
 
 
-def test_dates(spark):
-    df = spark.createDataFrame([("1/5/1990",), ("01/05/1990",), ("",), ("1990",)], "d string")
-    day = datetime.date(1990, 1, 5)
-    assert tuples(df.select(parse_dob(df.d))) == [(day,), (day,), (None,), (None,)]
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("1/5/1990", (1990, 1, 5)),
+        ("01/05/1990", (1990, 1, 5)),
+        ("13/45/1990", (1991, 2, 14)),
+        ("0/0/1990", (1989, 11, 30)),
+        ("2/30/2023", (2023, 3, 2)),
+        ("01/05/1990 x", (1990, 1, 5)),
+        ("", None),
+        ("1990", None),
+        ("x1/5/1990", None),
+        (None, None),
+    ],
+)
+def test_dates(spark, text, expected):
+    df = spark.createDataFrame([(text,)], "d string")
+    day = expected and datetime.date(*expected)
+    assert tuples(df.select(parse_dob(df.d))) == [(day,)]
+
+
+def test_one_label_per_edge_with_repeated_profiles(spark, edges, profiles):
+    again = profiles.unionByName(profiles.withColumn("first_name", F.lit("Zed")))
+    labelled = people.with_friend_profiles(edges, again).collect()
+    assert len(labelled) == edges.count()
+    labels = {r.friend_id: r.label for r in labelled}
+    assert labels[1] == "Zed: 1/5/1990" and labels[11] is None
 
 
 @pytest.mark.parametrize(
@@ -219,7 +244,7 @@ def test_oldest_friends(edges, profiles):
         (3, 74),
         (4, 74),
         (0, 43),
-        (7, 0),
+        (7, 33),
         (8, 0),
         (10, 0),
         (11, 0),

@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as entry_points
+import catalog.oracle
+import catalog.queries
 
 from compare import check, connect
 
@@ -18,8 +20,8 @@ FORBIDDEN = [
 ]
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+QUERIES = catalog.queries.QUERIES
+ORACLE = catalog.oracle.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -29,6 +31,9 @@ def con():
 
 def test_every_query_has_a_twin():
     assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.keys() <= entry_points.queries().keys()
+    assert ORACLE.keys() <= entry_points.oracle_sql().keys()
+    assert entry_points.oracle_sql().keys() <= entry_points.queries().keys()
 
 
 @pytest.mark.parametrize("name", list(QUERIES))

@@ -1,6 +1,11 @@
 """What a sink writes, a source reads back."""
 
+from pathlib import Path
+
+import pytest
+
 from amity import sinks, sources
+from catalog.shared import fresh_path
 
 from graphs import edges, random_arcs
 
@@ -34,3 +39,23 @@ def test_single_file(spark, tmp_path):
     assert len(list(many.glob("part-*"))) == 5
     assert len(list(one.glob("part-*"))) == 1
     assert sources.read_lines(spark, str(one)).count() == 100
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Context:
+        master = "spark://somewhere:7077"
+
+    class Conf:
+        @staticmethod
+        def get(key, default=None):
+            return default
+
+    class Session:
+        sparkContext = Context
+        conf = Conf
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        fresh_path(Session, "x")
+    Context.master = "local[2]"
+    first, second = fresh_path(Session, "x"), fresh_path(Session, "x")
+    assert first != second and Path(first).parent == Path(second).parent
