@@ -107,8 +107,8 @@ def _short_hits(read: DataFrame, items: DataFrame) -> DataFrame:
     longest = F.array_max(F.transform("iw", lambda x: F.struct(F.char_length(x).alias("n"), x.alias("x"))))
     short = short.select("item_id", "iw", longest["x"].alias("anchor"))
     if short.isEmpty():
-        return items.sparkSession.createDataFrame(
-            [], "text_key string, item_id long, start int, end int"
+        return short.select(
+            F.lit("").alias("text_key"), "item_id", F.lit(0).alias("start"), F.lit(0).alias("end")
         )
     met = read.select("text_key", F.explode("w").alias("word")).join(
         _small(short), F.col("word") == F.col("anchor")
