@@ -118,7 +118,7 @@ def fit(labelled: DataFrame, texts: int = TEXTS_PER_LANGUAGE) -> Model:
     sums = {r["lang"]: np.array(r["counts"]) for r in parts.groupBy("lang").applyInPandas(summed, schema).collect()}
     size = 1 << TABLE_BITS
     nothing = np.zeros(size + len(NAMES))
-    both = np.array([sums.get(name, nothing) for name in languages]).reshape(len(languages), -1)
+    both = np.array([sums.get(name, nothing) for name in languages]).reshape(len(languages), nothing.size)
     grams, scripts = both[:, :size], both[:, size:]
     total = grams.sum(axis=1, keepdims=True)
     logs = np.log((grams + SMOOTHING) / (total + SMOOTHING * size))

@@ -210,7 +210,7 @@ def scored(docs: DataFrame, held_out_of: int = 10) -> DataFrame:
             order = np.argsort(bucket, kind="stable")
             # A negative count: the document is held out and isn't learned from.
             sign = np.where(batch["held_out"].to_numpy(bool), -1, 1)[pair >> 32]
-            blobs = packed.blobs(row, bucket[order], (pair >> 32)[order], key[order], (sign * times)[order], target[pair & 0xFFFFFFFF][order])
+            blobs = packed.blobs(row, bucket[order], (pair >> 32)[order], key[order], (sign * times)[order], np.zeros(len(batch)))
             blobs["extra"] = [
                 target[pair & 0xFFFFFFFF][order][a:b].astype(np.uint8).tobytes()
                 for a, b in _edges(bucket[order])

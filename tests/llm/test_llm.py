@@ -38,7 +38,8 @@ DOCS = "doc_id long, text string, lang string, source string, n_chars long, scor
 
 def words(n, seed=0, of=200):
     rng = random.Random(seed)
-    return " ".join(f"w{rng.randrange(of)}" for _ in range(n))
+    names = str.maketrans("0123456789", "abcdefghij")
+    return " ".join(f"w{rng.randrange(of)}".translate(names) for _ in range(n))
 
 
 @pytest.fixture(scope="module")
@@ -292,9 +293,9 @@ def test_mix_meets_its_targets(spark, block):
     total = sum(r.size for r in got)
     sums = Counter()
     for r in got:
-        sums[r.target] += r.taken
-    assert abs(sum(sums) - total) < 1e-6 * total
-    assert all(abs(taken - target) <= max(10, 0.01 * target) for target, taken in sums.items())
+        sums[r.target, r.source_size] += r.taken
+    assert abs(sum(t for t, _ in sums) - total) < 1e-6 * total
+    assert all(abs(taken - target) <= max(10, 0.01 * target) for (target, _), taken in sums.items())
     again = mixing.mixed(docs, block=block).collect()
     assert sorted(map(str, again)) == sorted(map(str, got))
 
