@@ -57,9 +57,7 @@ def hit_words(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     `text_key` is md5 of the text. A window is 13 consecutive words of an item,
     or all words of a shorter item; positions run from 0, `end` is excluded.
     """
-    read = docs.where(F.col("text").isNotNull()).select(
-        F.md5("text").alias("text_key"), text_words(F.col("text")).alias("w")
-    )
+    read = docs.where(F.col("text").isNotNull()).select(F.md5("text").alias("text_key"), "text")
     items = benchmark.where(F.col("text").isNotNull()).select(
         "item_id", text_words(F.col("text")).alias("iw")
     ).distinct()
@@ -80,7 +78,7 @@ def _long_hits(read: DataFrame, items: DataFrame) -> DataFrame:
         .distinct()
     )
 
-    prints = read.select("text_key", grams("w").alias("g")).select(
+    prints = _with_words(read).select("text_key", grams("w").alias("g")).select(
         "text_key", F.explode_outer(winnowed("g")).alias("gram")
     )
     met = prints.join(
@@ -110,7 +108,7 @@ def _short_hits(read: DataFrame, items: DataFrame) -> DataFrame:
         return short.select(
             F.lit("").alias("text_key"), "item_id", F.lit(0).alias("start"), F.lit(0).alias("end")
         )
-    met = read.select("text_key", F.explode("w").alias("word")).join(
+    met = _with_words(read).select("text_key", F.explode_outer("w").alias("word")).join(
         _small(short), F.col("word") == F.col("anchor")
     )
     asked = met.groupBy("text_key").agg(F.collect_set(F.struct("item_id", "iw")).alias("items"))
@@ -133,23 +131,7 @@ def judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Null item ids are left out of the items. Other columns are ignored.
     """
     docs, benchmark = docs.select("doc_id", "text"), benchmark.select("item_id", "text")
-    hits = hit_words(docs, benchmark)
-    n_hit = (
-        hits.select("text_key", F.explode_outer(F.expr("sequence(start, end - 1)")).alias("at"))
-        .distinct()
-        .groupBy("text_key")
-        .agg(F.count("*").alias("n_hit"))
-    )
-    names = (
-        hits.where(F.col("item_id").isNotNull())
-        .select("text_key", F.col("item_id").cast("string").alias("item"))
-        .distinct()
-        .groupBy("text_key")
-        .agg(F.sort_array(F.collect_list("item")).alias("items"))
-    )
-    verdicts = n_hit.join(names, "text_key", "left").select(
-        F.concat("text_key", F.lit("#")).alias("hit_key"), "n_hit", "items"
-    )
+    verdicts = _verdicts(hit_words(docs, benchmark))
     rows = docs.select(
         "doc_id",
         F.size(text_words(F.col("text"))).cast("bigint").alias("n_words"),
@@ -170,18 +152,31 @@ def judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of `docs` that are not contaminated, with all their columns."""
     hits = hit_words(docs.select("doc_id", "text"), benchmark.select("item_id", "text"))
-    n_hit = (
-        hits.select("text_key", F.explode_outer(F.expr("sequence(start, end - 1)")).alias("at"))
-        .distinct()
-        .groupBy("text_key")
-        .agg(F.count("*").alias("n_hit"))
-    )
-    hit = n_hit.select(F.concat("text_key", F.lit("#")).alias("_key"), F.col("n_hit").alias("_hit"))
+    hit = _verdicts(hits).select(F.col("hit_key").alias("_key"), F.col("n_hit").alias("_hit"))
     joined = docs.join(hit, F.concat(F.md5("text"), F.lit("#")) == F.col("_key"), "left")
     bad = (F.col("_hit") > 0) & (HIT_SHARE * F.col("_hit") >= F.size(text_words(F.col("text"))))
     return joined.where(~F.coalesce(bad, F.lit(False))).select(*[docs[c] for c in docs.columns])
 
 
+def _verdicts(hits: DataFrame) -> DataFrame:
+    """(hit_key, n_hit, items) per text, in one aggregation of its hits."""
+    found = hits.groupBy("text_key").agg(
+        F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"),
+        F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"),
+    )
+    walked = F.aggregate(
+        "spans",
+        F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).alias("last")),
+        lambda at, s: F.struct(
+            (at["n"] + F.greatest(F.lit(0), s["end"] - F.greatest(s["start"], at["last"]))).alias("n"),
+            F.greatest(at["last"], s["end"]).alias("last"),
+        ),
+    )
+    return found.select(
+        F.concat("text_key", F.lit("#")).alias("hit_key"), walked["n"].alias("n_hit"), "items"
+    )
+
+
 def _small(side: DataFrame) -> DataFrame:
     """`side` marked for broadcast if it was counted to be small."""
     few = side.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
@@ -193,7 +188,13 @@ def _of_texts(read: DataFrame, asked: DataFrame) -> DataFrame:
     first = asked.withColumnRenamed("text_key", "asked_key")
     first = first.withColumn("asked_key", F.concat("asked_key", F.lit("#")))
     keyed = read.withColumn("key", F.concat("text_key", F.lit("#")))
-    return keyed.join(first, F.col("key") == F.col("asked_key")).drop("key", "asked_key")
+    joined = keyed.join(first, F.col("key") == F.col("asked_key")).drop("key", "asked_key")
+    return _with_words(joined)
+
+
+def _with_words(read: DataFrame) -> DataFrame:
+    """Texts travel as they are, which is half as large as their words in a list."""
+    return read.withColumn("w", text_words(F.col("text"))).drop("text")
 
 
 def _around(list_of_words: str, prefix: str) -> list[Column]:
