@@ -2,8 +2,8 @@
 
 The model predicts a word in two steps: its class, by a softmax over hashed
 features of the words before it, and the word within its class, by counts.
-Features are the previous word, the pair of previous words, and a skip to the
-second word back. Weights are trained in rounds: each round takes a
+Features are the previous word, the pair of previous words, and skips to the
+second and third word back. Weights are trained in rounds: each round takes a
 share of the documents, every task follows the gradient from the common
 weights on its own documents, and what the tasks learned is averaged.
 
@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from . import packed
 from .common import remainder, shuffle_partitions, slices, written
 
-CLASSES = 24
+CLASSES = 32
 TABLE_BITS = 14
-FEATURES = 3
+FEATURES = 4
 ROUNDS = 2
 RATE = 0.5
 STEP_TOKENS = 4096
@@ -32,7 +32,7 @@ WEIGHT_ROWS = 1 << 10
 ADDED = 0.1
 
 END = b"\n"
-_SKIPS = ((1, 0), (1, 2), (2, 0))
+_SKIPS = ((1, 0), (1, 2), (2, 0), (3, 0))
 
 
 def tokens(texts: pd.Series) -> tuple[np.ndarray, list[bytes], np.ndarray]:
