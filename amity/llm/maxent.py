@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -172,7 +173,8 @@ def scored(docs: DataFrame, held_out_of: int = 10) -> DataFrame:
     common_counts, common_classes = _counts_of(learned, common)
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in slices(batches, "text"):
+        task = TaskContext.get().partitionId() << 32
+        for turn, batch in enumerate(slices(batches, "text")):
             ids, unique, sizes = tokens(batch["text"])
             hashes = packed.word_hashes(unique)
             each = hashes[ids]
@@ -194,6 +196,7 @@ def scored(docs: DataFrame, held_out_of: int = 10) -> DataFrame:
             out = pd.DataFrame(
                 {
                     "bucket": packed.bucket_of(packed.mixed(row.astype(np.uint64)), n).astype(np.int32),
+                    "batch": task | turn,
                     "row": row,
                     "n_tokens": sizes,
                     "model": np.bincount(owner, logs, len(batch)),
@@ -216,7 +219,7 @@ def scored(docs: DataFrame, held_out_of: int = 10) -> DataFrame:
                 for a, b in _edges(bucket[order])
             ]
             # No nulls: pandas would turn the row ids of a whole group to floats.
-            blobs = blobs.assign(row=0, n_tokens=0, model=0.0, known=0, sums=0.0)
+            blobs = blobs.assign(batch=task | turn, row=0, n_tokens=0, model=0.0, known=0, sums=0.0)
             yield _dealt(blobs.astype({"bucket": np.int32}))
 
     def look(rows: pd.DataFrame) -> pd.DataFrame:
@@ -224,6 +227,7 @@ def scored(docs: DataFrame, held_out_of: int = 10) -> DataFrame:
         out = [
             pd.DataFrame(
                 {
+                    "batch": own["batch"].astype(np.int64),
                     "row": own["row"].astype(np.int64),
                     "n_tokens": own["n_tokens"].astype(np.int64),
                     "model": own["model"],
@@ -231,6 +235,9 @@ def scored(docs: DataFrame, held_out_of: int = 10) -> DataFrame:
                     "sums": own["sums"],
                     "in_class": own["in_class"],
                     "in_train": None,
+                    "docs": None,
+                    "known_of": None,
+                    "sums_of": None,
                 }
             )
         ]
@@ -247,25 +254,34 @@ def scored(docs: DataFrame, held_out_of: int = 10) -> DataFrame:
             often = np.abs(times)
             known = np.bincount(owner, often * (counts[inverse] > 0), len(docs_))
             sums = np.bincount(owner, often * np.log10(counts[inverse] + ADDED), len(docs_))
+            # One row for each batch that asked, not one for each of its documents.
+            ends = np.cumsum([len(x) // 8 for x in blobs["docs"]])
+            of_blob = list(zip([0, *ends[:-1]], ends))
             out.append(
-                pd.DataFrame(
-                    {"row": docs_, "n_tokens": 0, "model": 0.0, "known": known.astype(np.int64), "sums": sums, "in_class": None, "in_train": None}
+                _told(
+                    len(blobs),
+                    batch=blobs["batch"].to_numpy(np.int64),
+                    docs=list(blobs["docs"]),
+                    known_of=[known[a:b].astype(np.int64).tobytes() for a, b in of_blob],
+                    sums_of=[sums[a:b].tobytes() for a, b in of_blob],
                 )
             )
             of = classes[first]
             totals = np.concatenate([np.bincount(of, counts, CLASSES), np.bincount(of, counts > 0, CLASSES)])
-            out.append(
-                pd.DataFrame(
-                    {"row": [0], "n_tokens": [0], "model": [0.0], "known": [0], "sums": [0.0], "in_class": [None], "in_train": [totals]}
-                )
-            )
+            out.append(_told(1, in_train=[totals]))
         return pd.concat([x for x in out if len(x)], ignore_index=True) if any(len(x) for x in out) else out[0]
 
+    def gather(rows: pd.DataFrame) -> pd.DataFrame:
+        distinct, inverse = np.unique(packed.joined(rows["docs"], np.int64), return_inverse=True)
+        known = np.bincount(inverse, packed.joined(rows["known_of"], np.int64))
+        sums = np.bincount(inverse, packed.joined(rows["sums_of"], np.float64))
+        return pd.DataFrame({"row": distinct, "known": known.astype(np.int64), "sums": sums})
+
     parts = written(
         docs.select("row", "text", "held_out")
         .mapInPandas(deal, _DEAL_SCHEMA)
         .groupBy("bucket")
-        .applyInPandas(look, "row long, n_tokens long, model double, known long, sums double, in_class array<int>, in_train array<double>"),
+        .applyInPandas(look, _TOLD_SCHEMA),
         "words",
     )
     # One row: tokens and distinct words of the training documents by class.
@@ -283,9 +299,12 @@ def scored(docs: DataFrame, held_out_of: int = 10) -> DataFrame:
         F.lit(0.0),
         lambda a, x: a + x,
     )
+    own = parts.where("in_class IS NOT NULL").select("row", "known", "sums", "n_tokens", "model", "in_class")
+    asked = parts.where("docs IS NOT NULL").select("batch", "docs", "known_of", "sums_of")
+    met = asked.groupBy("batch").applyInPandas(gather, "row long, known long, sums double")
     # Equal rows are counted as often as they occur, so shares are taken.
     per_row = (
-        parts.where("in_train IS NULL")
+        own.unionByName(met, allowMissingColumns=True)
         .groupBy("row")
         .agg(
             F.count("in_class").alias("copies"),
@@ -314,14 +333,27 @@ def scored(docs: DataFrame, held_out_of: int = 10) -> DataFrame:
 
 
 _DEALT = [
-    "bucket", "row", "n_tokens", "model", "known", "sums", "in_class", "docs", "sizes", "keys", "times", "extra",
+    "bucket", "batch", "row", "n_tokens", "model", "known", "sums", "in_class", "docs", "sizes", "keys", "times", "extra",
 ]
 _DEAL_SCHEMA = (
-    "bucket int, row long, n_tokens long, model double, known long, sums double, "
+    "bucket int, batch long, row long, n_tokens long, model double, known long, sums double, "
     "in_class array<int>, docs binary, sizes binary, keys binary, times binary, extra binary"
 )
 
 
+_TOLD_SCHEMA = (
+    "batch long, row long, n_tokens long, model double, known long, sums double, "
+    "in_class array<int>, in_train array<double>, docs binary, known_of binary, sums_of binary"
+)
+
+
+def _told(n: int, **columns) -> pd.DataFrame:
+    """`n` rows of what a bucket tells, with the given columns and nothing else."""
+    plain = {"batch": 0, "row": 0, "n_tokens": 0, "model": 0.0, "known": 0, "sums": 0.0}
+    none = dict.fromkeys(["in_class", "in_train", "docs", "known_of", "sums_of"])
+    return pd.DataFrame(plain | none | columns, index=range(n))
+
+
 def _dealt(rows: pd.DataFrame) -> pd.DataFrame:
     missing = {name: None for name in _DEALT if name not in rows}
     return rows.assign(**missing)[_DEALT]
