@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 # The model is fitted on about this many examples of each label.
 EXAMPLES_PER_LABEL = 5000
 
-TERMS = 400
 CERTAINTY = 0.01
 PREFIXES = (3, 4, 5, 6)
 NEIGHBOURS = 25
@@ -153,9 +152,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = EXAMPLES_PER_LABEL)
         a, b = F.col("n1").cast("double"), F.col("n0").cast("double")
         c, d = total1 - a, total0 - b
         chi = total * (a * d - b * c) ** 2 / (F.greatest(F.lit(1.0), (a + b) * (c + d)) * float(total0 * total1))
+        # However many pass, all are kept; the drawn examples bound their number.
         chosen = (
             counts.withColumn("chi", chi).where(F.col("chi") > limit)
-            .orderBy(F.desc("chi"), "term").limit(TERMS).collect()
+            .orderBy(F.desc("chi"), "term").collect()
         )
     terms = {r["term"]: i for i, r in enumerate(chosen)}
     idf = np.array([np.log((1 + total) / (1 + r["n0"] + r["n1"])) + 1 for r in chosen])

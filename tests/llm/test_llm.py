@@ -203,6 +203,26 @@ def test_toxicity_finds_new_forms(spark):
     assert got[400].evidence[0].toxic == 1
 
 
+def test_toxicity_keeps_every_telling_word(spark):
+    rng = random.Random(3)
+    lexicon = ["".join(rng.choices("abcdefghijklmnopqrstuvxyz", k=9)) for _ in range(200)]
+    rows, labels = [], []
+    for i in range(2000):
+        text = words(20, seed=i, of=3000).split()
+        toxic = i % 2
+        if toxic:
+            text += rng.sample(lexicon, 10)
+        rows.append((i, " ".join(text)))
+        labels.append((i, toxic))
+    index = toxicity.fit(
+        spark.createDataFrame(rows, "doc_id long, text string"),
+        spark.createDataFrame(labels, "doc_id long, toxic int"),
+    )
+    assert all(f"={word}" in index.terms for word in lexicon)
+    single = spark.createDataFrame(list(enumerate(lexicon)), "doc_id long, text string")
+    assert all(r.score > 0.5 and r.evidence for r in toxicity.score(single, index).collect())
+
+
 def test_block_max_search_is_exact():
     rng = np.random.default_rng(2)
     rows = [
