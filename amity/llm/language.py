@@ -80,11 +80,13 @@ class Model:
 def fit(labelled: DataFrame, texts: int = TEXTS_PER_LANGUAGE) -> Model:
     """A model from (text, lang) rows; rows with a null in either are left out.
 
-    About `texts` texts of each language are used, chosen by a hash of the
-    text. Their number is the only thing bounded: each is used in full.
+    About `texts` different texts of each language are used, chosen by a hash
+    of the text. Copies count once. Their number is the only thing bounded:
+    each is used in full.
     """
     rows = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row per language
+    different = rows.select("lang", F.xxhash64("text").alias("key")).distinct()
+    counts = {r["lang"]: r["count"] for r in different.groupBy("lang").count().collect()}  # a row per language
     languages = sorted(counts)
     share = F.lit(0.0)
     for name in languages:
@@ -114,7 +116,7 @@ def fit(labelled: DataFrame, texts: int = TEXTS_PER_LANGUAGE) -> Model:
         return pd.DataFrame({"lang": rows["lang"].iloc[:1], "counts": [np.sum(rows["counts"].to_list(), axis=0)]})
 
     schema = "lang string, counts array<double>"
-    parts = rows.where(drawn).select("text", "lang").mapInPandas(counted, schema)
+    parts = rows.where(drawn).select("text", "lang").distinct().mapInPandas(counted, schema)
     sums = {r["lang"]: np.array(r["counts"]) for r in parts.groupBy("lang").applyInPandas(summed, schema).collect()}
     size = 1 << TABLE_BITS
     nothing = np.zeros(size + len(NAMES))

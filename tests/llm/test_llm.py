@@ -357,6 +357,18 @@ def test_languages(spark, odd, empty):
     assert {r.lang_pred for r in language.label(odd, none).collect()} == {"und"}
 
 
+def test_copies_neither_hide_nor_outweigh_a_language(spark):
+    tried = spark.createDataFrame([(words(30, seed=i),) for i in range(40)], "text string")
+    # None of these is among the first half of the hashes.
+    late = [r.text for r in tried.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) >= 1 << 19).limit(3).collect()]
+    other = [("\u043f\u0440\u0438\u0432\u0435\u0442 \u043c\u0438\u0440", "yy")]
+    single = spark.createDataFrame([(t, "xx") for t in late] + other, "text string, lang string")
+    copied = spark.createDataFrame([(t, "xx") for t in late] * 20 + other, "text string, lang string")
+    model = language.fit(copied, texts=10)
+    assert len(late) == 3 and np.allclose(model.grams, language.fit(single, texts=10).grams)
+    assert {r.lang_pred for r in language.label(single.where("lang = 'xx'"), model).collect()} == {"xx"}
+
+
 def test_scripts_narrow_languages(spark):
     rows = [("привет мир как дела", "ru"), ("hello world how are you", "en")] * 5
     model = language.fit(spark.createDataFrame(rows, "text string, lang string"))
