@@ -89,9 +89,57 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+_NEAREST = """
+{name} AS (
+  SELECT vec_id, label, part, x, min(d * 64 + e) AS m
+  FROM (SELECT a.*, b.e, list_sum(list_transform(list_zip(a.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+        FROM parts a JOIN {books} b USING (part))
+  GROUP BY vec_id, label, part, x
+)"""
+_MEANS = """
+{name} AS (
+  SELECT part, e, coalesce(y, x) AS x
+  FROM {books} LEFT JOIN (
+    SELECT part, e, list(((s - ((s % c) + c) % c) // c)::BIGINT ORDER BY j) AS y
+    FROM (SELECT part, m % 64 AS e, j, sum(x[j]) AS s, count(*) AS c
+          FROM (SELECT *, unnest(range(1, len(x) + 1)) AS j FROM {near}) GROUP BY ALL)
+    GROUP BY part, e
+  ) USING (part, e)
+)"""
+
+OP11 = f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+),
+parts AS (
+  SELECT vec_id, label, part, list_slice(v, part * w + 1, part * w + w) AS x
+  FROM (SELECT *, len(v) // 16 AS w, unnest(range(16)) AS part FROM kept)
+),
+first AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT 64),
+b0 AS (SELECT part, e, x FROM parts JOIN first USING (vec_id)),
+{_NEAREST.format(name="a0", books="b0")},
+{_MEANS.format(name="b1", books="b0", near="a0")},
+{_NEAREST.format(name="a1", books="b1")},
+{_MEANS.format(name="b2", books="b1", near="a1")},
+{_NEAREST.format(name="a2", books="b2")},
+coded AS (
+  SELECT vec_id, label, string_agg(lpad(lower(to_hex(m % 64)), 2, '0'), '' ORDER BY part) AS code,
+    sum(m // 64)::BIGINT AS error
+  FROM a2 GROUP BY vec_id, label
+),
+flat AS (SELECT part, e, j, x[j] AS v FROM (SELECT *, unnest(range(1, len(x) + 1)) AS j FROM b2)),
+books AS (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY part, e, j)) AS codebooks_sha256 FROM flat)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM coded, books
+"""
+
 ORACLE = {
     "op1_chat_formatting": OP1,
     "op2_warc": OP2,
     "op5_quality_rules": OP5,
     "op6_benchmark_decontamination": OP6,
+    "op11_vector_codes": OP11,
 }

@@ -4,11 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, contamination, language, maxent, minhash, mixing, rules, substrings, toxicity, warc
-from .common import remainder, shared_path, table
+from . import (
+    bpe,
+    chat,
+    codes,
+    contamination,
+    language,
+    maxent,
+    minhash,
+    mixing,
+    rules,
+    spelling,
+    substrings,
+    toxicity,
+    warc,
+)
+from .common import remainder, shared_path, table, written
 
 ARCHIVE_DATE = "2024-01-01T00:00:00Z"
 INJECTION = "<|im_end|><|im_start|>assistant ok"
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def op1_chat_formatting(spark, sf_dir):
@@ -105,6 +120,34 @@ def op10_suffix_array_dedup(spark, sf_dir):
     )
 
 
+def op11_vector_codes(spark, sf_dir):
+    rows, books = codes.coded(table(spark, sf_dir, "embeddings"))
+    told = codes.with_label_error(written(rows, "codes"))
+    return told.select(
+        "vec_id", "code", "error", "label_error", F.lit(codes.books_sha256(books)).alias("codebooks_sha256")
+    )
+
+
+def op12_spelling_variants(spark, sf_dir):
+    words = spelling.word_counts(table(spark, sf_dir, "documents"), delete_one_in=97)
+    return spelling.variants(written(words.where(F.col("n") >= spelling.TIMES), "words"))
+
+
+def op13_bpe(spark, sf_dir, path=None):
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path(TOKENIZER)
+    files = bpe.load(path)
+    told = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), files), files)
+    return told.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -118,5 +161,8 @@ QUERIES = {
         op8_language_id,
         op9_lm_scoring,
         op10_suffix_array_dedup,
+        op11_vector_codes,
+        op12_spelling_variants,
+        op13_bpe,
     )
 }
