@@ -1,7 +1,9 @@
 """Byte-pair encoding and decoding through a table of distinct words.
 
 A tokenizer of the `tokenizers` library cuts a text into words and encodes each
-of them alone, so a word has the same ids wherever it stands.
+of them alone, so a word has the same ids wherever it stands. A blank before
+anything but white space begins a word whatever is before it; texts are cut
+there first, and what lies between two such blanks is cut into words once.
 
 1. Texts are cut into words batch by batch. What stays of a batch is which word
    stands where, as numbers.
@@ -28,6 +30,7 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -39,9 +42,9 @@ from .common import slices
 SAMPLED_DOCS = 8000
 KNOWN_WORDS = 1 << 18
 
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 2_000_000
 
-_BATCH = "batch long, docs array<long>, sizes binary, seq binary, known binary, words array<string>"
+_BATCH = "batch long, docs array<long>, sizes binary, seq binary, known binary, lengths binary, words binary"
 
 
 @dataclass
@@ -111,29 +114,49 @@ def _pattern() -> str:
         return "".join(out)
 
     letter, number, space = members(r"\p{L}"), members(r"\p{N}"), members(r"\s")
-    # Fixed value: the public cutting pattern.
+    # Fixed value: the public cutting pattern; the words of letters may come
+    # first, since no other alternative begins as they do.
     return (
-        f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+"
+        f" ?[{letter}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[{number}]+"
         f"| ?[^{space}{letter}{number}]+|[{space}]+(?![^{space}])|[{space}]+"
     )
 
 
-def _cutter(files: Files):
-    """A function from a text to its words; an added token is a word."""
-    words = re.compile(files.pattern).findall
-    if not files.added:
-        return words
-    added = re.compile("|".join(map(re.escape, files.added)))
-
-    def cut(text: str) -> list[str]:
-        out, at = [], 0
-        for hit in added.finditer(text):
-            out += words(text[at : hit.start()])
-            out.append(hit.group())
+class _Words(dict):
+    """Numbers of the words in pieces of text; words are numbered as they come."""
+
+    def __init__(self, files: Files) -> None:
+        super().__init__()
+        self.cut = re.compile(files.pattern).findall
+        self.added = re.compile("|".join(map(re.escape, files.added))) if files.added else None
+        self.apart = re.compile(r" (?=\S)").split
+        # Python's white space has all of the library's.
+        self.wide = re.compile(r" \s| $").search
+        self.seen: dict[str, int] = {}
+
+    def __missing__(self, piece: str) -> list[int]:
+        number = self.seen
+        self[piece] = found = [number.setdefault(w, len(number)) for w in self.cut(piece)]
+        return found
+
+    def numbers(self, text: str) -> np.ndarray:
+        """The words of a text by number; an added token is a word."""
+        out: list[int] = []
+        at = 0
+        for hit in self.added.finditer(text) if self.added else ():
+            out += self._plain(text[at : hit.start()])
+            out.append(self.seen.setdefault(hit.group(), len(self.seen)))
             at = hit.end()
-        return out + words(text[at:]) if out else words(text)
+        return np.array([*out, *self._plain(text[at:])] if out else self._plain(text), np.int32)
+
+    def _plain(self, text: str) -> list[int]:
+        first, *rest = self.apart(text) if self.wide(text) else text.split(" ")
+        return [*self[first], *[i for piece in rest for i in self[" " + piece]]] if text else []
 
-    return cut
+    def forget(self) -> None:
+        """Numbers begin anew."""
+        self.clear()
+        self.seen = {}
 
 
 def _encoded(files: Files, words: list[str], tokenizer=None) -> list[bytes]:
@@ -150,11 +173,12 @@ def known_words(docs: DataFrame, files: Files) -> tuple[list[str], list[bytes]]:
     drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < min(1.0, SAMPLED_DOCS / max(1, total)) * (1 << 20)
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cut = _cutter(files)
+        words = _Words(files)
         for batch in slices(batches, "text", BATCH_CHARS):
-            words = pd.Series([w for t in batch["text"] for w in cut(t)], dtype=object)
-            n = words.value_counts()
-            yield pd.DataFrame({"word": n.index.astype(str), "n": n.to_numpy()})
+            seq = np.concatenate([words.numbers(t) for t in batch["text"]])
+            n = np.bincount(seq, minlength=len(words.seen))
+            yield pd.DataFrame({"word": list(words.seen), "n": n})
+            words.forget()
 
     def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = files.tokenizer()
@@ -184,38 +208,46 @@ def encode(docs: DataFrame, files: Files) -> DataFrame:
     known, known_ids = known_words(docs, files)
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cut = _cutter(files)
+        cut = _Words(files)
         place = {word: i for i, word in enumerate(known)}
+        none = len(known)
         task = TaskContext.get().partitionId() << 32
         for turn, batch in enumerate(slices(batches, "text", BATCH_CHARS)):
-            seen: dict[str, int] = {}
-            lists = [
-                [seen.setdefault(w, len(seen)) for w in cut(t)] if isinstance(t, str) else [] for t in batch["text"]
-            ]
-            # Frequent words get small numbers, which pack well.
-            seq = np.array([i for x in lists for i in x], np.int64)
-            order = np.argsort(-np.bincount(seq, minlength=len(seen)), kind="stable")
-            rank = np.empty(len(seen), np.int64)
-            rank[order] = np.arange(len(seen))
-            words = list(seen)
-            words = [words[i] for i in order]
-            at = np.array([place.get(w, -1) for w in words], np.int32)
+            lists = [cut.numbers(t) if isinstance(t, str) else np.zeros(0, np.int32) for t in batch["text"]]
+            words = list(cut.seen)
+            cut.forget()
+            # Known words come first, in order of their number, which is that of
+            # their frequency: small numbers are frequent and pack well.
+            at = np.array([place.get(w, none) for w in words], np.int64)
+            order = np.argsort(at, kind="stable")
+            rank = np.empty(len(words), np.int32)
+            rank[order] = np.arange(len(words), dtype=np.int32)
+            cold = [words[i].encode() for i in order[np.count_nonzero(at < none) :]]
             yield pd.DataFrame(
                 {
                     "batch": [task | turn],
                     "docs": [batch["doc_id"].astype("Int64").tolist()],
                     "sizes": [np.array([len(x) for x in lists], np.int32).tobytes()],
-                    "seq": [_packed(rank[seq], len(words))],
-                    "known": [at.tobytes()],
-                    "words": [[w for w, i in zip(words, at.tolist()) if i < 0]],
+                    "seq": [_packed(rank[np.concatenate(lists)])],
+                    "known": [_packed(np.diff(np.sort(at[at < none]), prepend=0))],
+                    "lengths": [_packed(np.array([len(w) for w in cold], np.int64))],
+                    "words": [zstandard.ZstdCompressor(level=1).compress(b"".join(cold))],
                 }
             )
 
-    def asked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            for row in rows.itertuples(index=False):
-                yield pd.DataFrame(
-                    {"batch": row.batch, "place": np.arange(len(row.words), dtype=np.int32), "word": row.words}
+            for batch, lengths, words in zip(*(rows.column(c).to_pylist() for c in ("batch", "lengths", "words"))):
+                ends = np.cumsum(np.concatenate([[0], _unpacked(lengths)])).astype(np.int32)
+                text = zstandard.ZstdDecompressor().decompress(words)
+                n = len(ends) - 1
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(n, batch, np.int64)),
+                        pa.array(np.arange(n, dtype=np.int32)),
+                        pa.StringArray.from_buffers(n, pa.py_buffer(ends), pa.py_buffer(text)),
+                    ],
+                    ["batch", "place", "word"],
                 )
 
     def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -230,17 +262,15 @@ def encode(docs: DataFrame, files: Files) -> DataFrame:
         if not len(rows):
             return pd.DataFrame({"doc_id": pd.Series([], dtype="Int64"), "ids": []})
         row = rows.iloc[0]
-        at = np.frombuffer(row["known"], np.int32)
+        at = np.cumsum(_unpacked(row["known"]))
         answers = answers.sort_values("place")
         # Ids of all words of the batch: the known ones, then the answers.
         new = np.frombuffer(b"".join(answers["ids"]), np.int32)
         new_sizes = np.array([len(x) // 4 for x in answers["ids"]], np.int64)
         ids = np.concatenate([flat, new])
-        cold = at < 0
-        first, size = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
-        first[~cold], size[~cold] = starts[at[~cold]], (starts[1:] - starts[:-1])[at[~cold]]
-        first[cold], size[cold] = len(flat) + np.cumsum(new_sizes) - new_sizes, new_sizes
-        seq = _unpacked(row["seq"], len(at))
+        first = np.concatenate([starts[at], len(flat) + np.cumsum(new_sizes) - new_sizes])
+        size = np.concatenate([starts[at + 1] - starts[at], new_sizes])
+        seq = _unpacked(row["seq"])
         sizes = np.frombuffer(row["sizes"], np.int32)
         each = size[seq]
         ends = np.cumsum(each)
@@ -255,7 +285,7 @@ def encode(docs: DataFrame, files: Files) -> DataFrame:
 
     # Both uses below read this shuffle, so that texts are cut once.
     batches = docs.mapInPandas(split, _BATCH).repartition("batch")
-    asks = batches.mapInPandas(asked, "batch long, place int, word string")
+    asks = batches.mapInArrow(asked, "batch long, place int, word string")
     table = asks.select("word").distinct().mapInPandas(encoded, "entry string, ids binary")
     answers = asks.join(table, F.col("word") == F.col("entry")).select("batch", "place", "ids")
     return (
@@ -299,7 +329,9 @@ def decode(tokens: DataFrame, files: Files) -> DataFrame:
                 if found is None:
                     texts.append(None)
                     continue
-                at = np.nan_to_num(np.asarray(found, float), nan=-1).astype(np.int64)
+                at = np.asarray(found)
+                if at.dtype.kind != "i":
+                    at = np.nan_to_num(at.astype(float), nan=-1).astype(np.int64)
                 at = np.where((at >= 0) & (at < len(table)), at, len(table))
                 texts.append(b"".join(piece[at].tolist()).decode("utf-8", "replace"))
             yield pd.Series(texts, dtype=object)
@@ -308,17 +340,14 @@ def decode(tokens: DataFrame, files: Files) -> DataFrame:
     return tokens.select(*stay, F.pandas_udf(joined, "string")(tokens["ids"]).alias("text"))
 
 
-def _packed(numbers: np.ndarray, below: int) -> bytes:
-    small = numbers.astype(_width(below))
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 on, in few bytes."""
+    width = np.uint16 if numbers.max(initial=0) < 1 << 16 else np.uint32
     # High and low bytes apart: the high ones are nearly all alike.
-    return zstandard.ZstdCompressor(level=1).compress(small.view(np.uint8).reshape(-1, small.itemsize).T.tobytes())
-
-
-def _unpacked(data: bytes, below: int) -> np.ndarray:
-    width = np.dtype(_width(below))
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    return raw.reshape(width.itemsize, -1).T.copy().view(width).reshape(-1).astype(np.int64)
+    raw = numbers.astype(width).view(np.uint8).reshape(-1, np.dtype(width).itemsize).T
+    return bytes([raw.shape[0]]) + zstandard.ZstdCompressor(level=1).compress(raw.tobytes())
 
 
-def _width(below: int) -> type:
-    return np.uint16 if below <= 1 << 16 else np.uint32
+def _unpacked(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), np.uint8).reshape(data[0], -1)
+    return raw.T.copy().view(f"u{data[0]}").reshape(-1).astype(np.int64)

@@ -56,6 +56,19 @@ def test_ids_and_texts_of_the_library(spark, files, library):
     assert bpe.encode(spark.createDataFrame([], CLASH), files).count() == 0
 
 
+def test_words_between_blanks(files, library):
+    rng = random.Random(8)
+    cut = bpe._Words(files)
+    for _ in range(3000):
+        text = "".join(rng.choices([" ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", "a", "é9", "'s", "!", "<|endoftext|>", "7"], k=12))
+        numbers = cut.numbers(text)
+        words = list(cut.seen)
+        ids = [i for n in numbers for i in library.encode(words[n], add_special_tokens=False).ids]
+        assert "".join(words[n] for n in numbers) == text
+        assert ids == library.encode(text, add_special_tokens=False).ids
+        cut.forget()
+
+
 def test_known_words_decide_on_the_way_only(spark, files, monkeypatch):
     docs = spark.createDataFrame([(i, f"the same words and {i} others" * 3) for i in range(40)], "doc_id long, text string")
     before = sorted(map(str, bpe.encode(docs, files).collect()))
