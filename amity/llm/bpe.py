@@ -7,8 +7,10 @@ there first, and what lies between two such blanks is cut into words once.
 
 1. Texts are cut into words batch by batch. What stays of a batch is which word
    stands where, as numbers.
-2. The distinct words of all batches make one table, and each of its words is
-   encoded once.
+2. The distinct words of all batches make one table, dealt over buckets by a hash
+   of the word. Each of its words is encoded once. A batch asks a bucket for all
+   its words there in one row, since a row per word would be mostly overhead.
+   Buckets are as many as the corpus is long, so that one fits a task.
 3. The ids go back to the batches that asked, and are set in by position.
 
 Words that a bounded sample of documents has more than once would be asked for
@@ -36,7 +38,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from . import packed
+from .common import shuffle_partitions, slices
 
 # Words that occur more than once in about so many documents, at most so many.
 SAMPLED_DOCS = 8000
@@ -44,6 +47,9 @@ KNOWN_WORDS = 1 << 18
 
 BATCH_CHARS = 2_000_000
 
+# Text whose rarer words make about one bucket.
+BUCKET_CHARS = 1 << 26
+
 _BATCH = "batch long, docs array<long>, sizes binary, seq binary, known binary, lengths binary, words binary"
 
 
@@ -122,41 +128,66 @@ def _pattern() -> str:
     )
 
 
-class _Words(dict):
-    """Numbers of the words in pieces of text; words are numbered as they come."""
+class _Pieces(dict):
+    """Numbers of what stands between blanks, in order of appearance.
+
+    What a text begins with is no piece after a blank; it is kept as a tuple.
+    """
+
+    def __missing__(self, piece: str | tuple[str]) -> int:
+        self[piece] = number = len(self)
+        return number
+
+
+class _Cutter:
+    """Words of texts by number, words being numbered as they come."""
 
     def __init__(self, files: Files) -> None:
-        super().__init__()
-        self.cut = re.compile(files.pattern).findall
+        self.words = re.compile(files.pattern).findall
+        self.names = set(files.added)
         self.added = re.compile("|".join(map(re.escape, files.added))) if files.added else None
         self.apart = re.compile(r" (?=\S)").split
         # Python's white space has all of the library's.
         self.wide = re.compile(r" \s| $").search
-        self.seen: dict[str, int] = {}
 
-    def __missing__(self, piece: str) -> list[int]:
-        number = self.seen
-        self[piece] = found = [number.setdefault(w, len(number)) for w in self.cut(piece)]
-        return found
-
-    def numbers(self, text: str) -> np.ndarray:
-        """The words of a text by number; an added token is a word."""
-        out: list[int] = []
+    def numbers(self, texts) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The distinct words of some texts, which of them stand where, words per text."""
+        pieces = _Pieces()
+        runs, sizes = [], np.zeros(len(texts), np.int64)
+        for row, text in enumerate(texts):
+            for part in self._parts(text) if isinstance(text, str) else ():
+                runs.append(np.fromiter(map(pieces.__getitem__, part), np.int64, len(part)))
+                sizes[row] += len(part)
+        seen: dict[str, int] = {}
+        found, each = [], np.zeros(len(pieces), np.int64)
+        for i, piece in enumerate(pieces):
+            whole = piece[0] if isinstance(piece, tuple) else " " + piece
+            cut = [whole] if whole in self.names else self.words(whole)
+            found += [seen.setdefault(w, len(seen)) for w in cut]
+            each[i] = len(cut)
+        piece = np.concatenate([np.zeros(0, np.int64), *runs])
+        per_text = np.bincount(np.repeat(np.arange(len(texts)), sizes), each[piece], len(texts)).astype(np.int64)
+        return list(seen), _gathered(np.array(found, np.int64), np.cumsum(each) - each, each, piece), per_text
+
+    def _parts(self, text: str) -> Iterator[list]:
         at = 0
         for hit in self.added.finditer(text) if self.added else ():
-            out += self._plain(text[at : hit.start()])
-            out.append(self.seen.setdefault(hit.group(), len(self.seen)))
+            yield self._plain(text[at : hit.start()])
+            yield [(hit.group(),)]
             at = hit.end()
-        return np.array([*out, *self._plain(text[at:])] if out else self._plain(text), np.int32)
+        yield self._plain(text[at:])
+
+    def _plain(self, text: str) -> list:
+        pieces = self.apart(text) if self.wide(text) else text.split(" ")
+        pieces[0] = (pieces[0],)
+        return pieces
 
-    def _plain(self, text: str) -> list[int]:
-        first, *rest = self.apart(text) if self.wide(text) else text.split(" ")
-        return [*self[first], *[i for piece in rest for i in self[" " + piece]]] if text else []
 
-    def forget(self) -> None:
-        """Numbers begin anew."""
-        self.clear()
-        self.seen = {}
+def _gathered(flat: np.ndarray, first: np.ndarray, size: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The runs of `flat` that begin at `first`, `size` long, in the order of `which`."""
+    each = size[which]
+    ends = np.cumsum(each)
+    return flat[np.repeat(first[which] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 def _encoded(files: Files, words: list[str], tokenizer=None) -> list[bytes]:
@@ -164,21 +195,18 @@ def _encoded(files: Files, words: list[str], tokenizer=None) -> list[bytes]:
     return [np.array(e.ids, np.int32).tobytes() for e in made.encode_batch(words, add_special_tokens=False)]
 
 
-def known_words(docs: DataFrame, files: Files) -> tuple[list[str], list[bytes]]:
-    """Words that occur more than once in a sample of documents, and their ids.
+def known_words(docs: DataFrame, files: Files, total: int) -> tuple[list[str], list[bytes]]:
+    """Words that occur more than once in a sample of `total` documents, and their ids.
 
     The most frequent first, ties in order of the word, at most KNOWN_WORDS.
     """
-    total = docs.count()
     drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < min(1.0, SAMPLED_DOCS / max(1, total)) * (1 << 20)
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = _Words(files)
+        cut = _Cutter(files)
         for batch in slices(batches, "text", BATCH_CHARS):
-            seq = np.concatenate([words.numbers(t) for t in batch["text"]])
-            n = np.bincount(seq, minlength=len(words.seen))
-            yield pd.DataFrame({"word": list(words.seen), "n": n})
-            words.forget()
+            words, seq, _ = cut.numbers(batch["text"].to_list())
+            yield pd.DataFrame({"word": words, "n": np.bincount(seq, minlength=len(words))})
 
     def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = files.tokenizer()
@@ -205,55 +233,63 @@ def encode(docs: DataFrame, files: Files) -> DataFrame:
     cell, and so must its ids.
     """
     docs = docs.select("doc_id", "text")
-    known, known_ids = known_words(docs, files)
+    size = docs.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.char_length("text")), F.lit(0)).alias("chars")).first()
+    known, known_ids = known_words(docs, files, size["n"])
+    buckets = max(shuffle_partitions(docs.sparkSession), size["chars"] // BUCKET_CHARS + 1)
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cut = _Words(files)
+        cut = _Cutter(files)
         place = {word: i for i, word in enumerate(known)}
         none = len(known)
         task = TaskContext.get().partitionId() << 32
         for turn, batch in enumerate(slices(batches, "text", BATCH_CHARS)):
-            lists = [cut.numbers(t) if isinstance(t, str) else np.zeros(0, np.int32) for t in batch["text"]]
-            words = list(cut.seen)
-            cut.forget()
+            words, seq, sizes = cut.numbers(batch["text"].to_list())
             # Known words come first, in order of their number, which is that of
             # their frequency: small numbers are frequent and pack well.
             at = np.array([place.get(w, none) for w in words], np.int64)
             order = np.argsort(at, kind="stable")
             rank = np.empty(len(words), np.int32)
             rank[order] = np.arange(len(words), dtype=np.int32)
-            cold = [words[i].encode() for i in order[np.count_nonzero(at < none) :]]
+            lengths, cold = _blobs([words[i].encode() for i in order[np.count_nonzero(at < none) :]])
             yield pd.DataFrame(
                 {
                     "batch": [task | turn],
                     "docs": [batch["doc_id"].astype("Int64").tolist()],
-                    "sizes": [np.array([len(x) for x in lists], np.int32).tobytes()],
-                    "seq": [_packed(rank[np.concatenate(lists)])],
+                    "sizes": [sizes.astype(np.int32).tobytes()],
+                    "seq": [_packed(rank[seq])],
                     "known": [_packed(np.diff(np.sort(at[at < none]), prepend=0))],
-                    "lengths": [_packed(np.array([len(w) for w in cold], np.int64))],
-                    "words": [zstandard.ZstdCompressor(level=1).compress(b"".join(cold))],
+                    "lengths": [lengths],
+                    "words": [cold],
                 }
             )
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             for batch, lengths, words in zip(*(rows.column(c).to_pylist() for c in ("batch", "lengths", "words"))):
-                ends = np.cumsum(np.concatenate([[0], _unpacked(lengths)])).astype(np.int32)
-                text = zstandard.ZstdDecompressor().decompress(words)
-                n = len(ends) - 1
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(n, batch, np.int64)),
-                        pa.array(np.arange(n, dtype=np.int32)),
-                        pa.StringArray.from_buffers(n, pa.py_buffer(ends), pa.py_buffer(text)),
-                    ],
-                    ["batch", "place", "word"],
-                )
-
-    def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                word = _words(lengths, words)
+                bucket = packed.bucket_of(packed.word_hashes(word), buckets)
+                order = np.argsort(bucket, kind="stable")
+                first = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+                made = [
+                    (int(bucket[at[0]]), batch, _packed(at), *_blobs([word[i] for i in at]))
+                    for at in np.split(order, first[1:])
+                    if len(at)
+                ]
+                columns = ["bucket", "batch", "place", "lengths", "words"]
+                yield pa.RecordBatch.from_pandas(pd.DataFrame(made, columns=columns), _ASK, False)
+
+    def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = files.tokenizer()
+        held: list[dict] = []
         for rows in batches:
-            yield pd.DataFrame({"entry": rows["word"], "ids": _encoded(files, rows["word"].tolist(), tokenizer)})
+            for row in rows.to_pylist():
+                # Rows come by bucket.
+                if held and held[0]["bucket"] != row["bucket"]:
+                    yield from _answers(held, files, tokenizer)
+                    held = []
+                held.append(row)
+        if held:
+            yield from _answers(held, files, tokenizer)
 
     starts = np.concatenate([[0], np.cumsum([len(x) // 4 for x in known_ids])]).astype(np.int64)
     flat = np.frombuffer(b"".join(known_ids), np.int32)
@@ -263,19 +299,18 @@ def encode(docs: DataFrame, files: Files) -> DataFrame:
             return pd.DataFrame({"doc_id": pd.Series([], dtype="Int64"), "ids": []})
         row = rows.iloc[0]
         at = np.cumsum(_unpacked(row["known"]))
-        answers = answers.sort_values("place")
         # Ids of all words of the batch: the known ones, then the answers.
-        new = np.frombuffer(b"".join(answers["ids"]), np.int32)
-        new_sizes = np.array([len(x) // 4 for x in answers["ids"]], np.int64)
-        ids = np.concatenate([flat, new])
-        first = np.concatenate([starts[at], len(flat) + np.cumsum(new_sizes) - new_sizes])
-        size = np.concatenate([starts[at + 1] - starts[at], new_sizes])
+        none = [np.zeros(0, np.int64)]
+        place = np.concatenate([*map(_unpacked, answers["place"]), *none])
+        told = np.concatenate([*map(_unpacked, answers["sizes"]), *none])
+        ids = np.concatenate([flat, *map(_unpacked, answers["ids"])])
+        first, size = np.empty(len(at) + len(place), np.int64), np.empty(len(at) + len(place), np.int64)
+        first[: len(at)], size[: len(at)] = starts[at], starts[at + 1] - starts[at]
+        first[len(at) + place], size[len(at) + place] = len(flat) + np.cumsum(told) - told, told
         seq = _unpacked(row["seq"])
-        sizes = np.frombuffer(row["sizes"], np.int32)
-        each = size[seq]
-        ends = np.cumsum(each)
-        token = ids[np.repeat(first[seq] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)]
-        cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])]
+        token = _gathered(ids, first, size, seq)
+        ends = np.concatenate([[0], np.cumsum(size[seq])])
+        cuts = ends[np.concatenate([[0], np.cumsum(np.frombuffer(row["sizes"], np.int32))])]
         return pd.DataFrame(
             {
                 "doc_id": pd.array([None if pd.isna(x) else int(x) for x in row["docs"]], "Int64"),
@@ -285,9 +320,9 @@ def encode(docs: DataFrame, files: Files) -> DataFrame:
 
     # Both uses below read this shuffle, so that texts are cut once.
     batches = docs.mapInPandas(split, _BATCH).repartition("batch")
-    asks = batches.mapInArrow(asked, "batch long, place int, word string")
-    table = asks.select("word").distinct().mapInPandas(encoded, "entry string, ids binary")
-    answers = asks.join(table, F.col("word") == F.col("entry")).select("batch", "place", "ids")
+    asks = batches.mapInArrow(asked, "bucket int, batch long, place binary, lengths binary, words binary")
+    table = asks.repartition("bucket").sortWithinPartitions("bucket")
+    answers = table.mapInArrow(answered, "batch long, place binary, sizes binary, ids binary")
     return (
         batches.groupBy("batch")
         .cogroup(answers.groupBy("batch"))
@@ -295,6 +330,50 @@ def encode(docs: DataFrame, files: Files) -> DataFrame:
     )
 
 
+_ASK = pa.schema(
+    [
+        ("bucket", pa.int32()),
+        ("batch", pa.int64()),
+        ("place", pa.binary()),
+        ("lengths", pa.binary()),
+        ("words", pa.binary()),
+    ]
+)
+_ANSWER = pa.schema(
+    [("batch", pa.int64()), ("place", pa.binary()), ("sizes", pa.binary()), ("ids", pa.binary())]
+)
+
+
+def _answers(asks: list[dict], files: Files, tokenizer) -> Iterator[pa.RecordBatch]:
+    """Ids for all that asked a bucket; each distinct word in it is encoded once."""
+    number: dict[bytes, int] = {}
+    places = [
+        np.array([number.setdefault(w, len(number)) for w in _words(row["lengths"], row["words"])], np.int64)
+        for row in asks
+    ]
+    encoded = _encoded(files, [w.decode() for w in number], tokenizer)
+    size = np.array([len(x) // 4 for x in encoded], np.int64)
+    flat = np.frombuffer(b"".join(encoded), np.int32)
+    first = np.cumsum(size) - size
+    made = [
+        (row["batch"], row["place"], _packed(size[at]), _packed(_gathered(flat, first, size, at)))
+        for row, at in zip(asks, places)
+    ]
+    yield pa.RecordBatch.from_pandas(pd.DataFrame(made, columns=_ANSWER.names), _ANSWER, False)
+
+
+def _blobs(words: list[bytes]) -> tuple[bytes, bytes]:
+    """The lengths of words, and the words."""
+    lengths = np.array([len(w) for w in words], np.int64)
+    return _packed(lengths), zstandard.ZstdCompressor(level=1).compress(b"".join(words))
+
+
+def _words(lengths: bytes, words: bytes) -> list[bytes]:
+    ends = np.cumsum(_unpacked(lengths)).tolist()
+    text = zstandard.ZstdDecompressor().decompress(words)
+    return [text[a:b] for a, b in zip([0, *ends], ends)]
+
+
 def pieces(files: Files) -> list[bytes]:
     """The bytes of each id; ids that a vocabulary leaves out have none."""
     told = json.loads(files.text)

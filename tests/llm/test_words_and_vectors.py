@@ -58,15 +58,15 @@ def test_ids_and_texts_of_the_library(spark, files, library):
 
 def test_words_between_blanks(files, library):
     rng = random.Random(8)
-    cut = bpe._Words(files)
-    for _ in range(3000):
-        text = "".join(rng.choices([" ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", "a", "é9", "'s", "!", "<|endoftext|>", "7"], k=12))
-        numbers = cut.numbers(text)
-        words = list(cut.seen)
-        ids = [i for n in numbers for i in library.encode(words[n], add_special_tokens=False).ids]
-        assert "".join(words[n] for n in numbers) == text
-        assert ids == library.encode(text, add_special_tokens=False).ids
-        cut.forget()
+    cut = bpe._Cutter(files)
+    marks = [" ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", "a", "é9", "'s", "!", "<|endoftext|>", "7"]
+    texts = ["".join(rng.choices(marks, k=12)) for _ in range(3000)]
+    words, numbers, sizes = cut.numbers([*texts, None, ""])
+    assert sizes[-2:].tolist() == [0, 0] and len(numbers) == sizes.sum()
+    alone = [e.ids for e in library.encode_batch(words, add_special_tokens=False)]
+    for text, a, b in zip(texts, np.cumsum(sizes) - sizes, np.cumsum(sizes)):
+        assert "".join(words[n] for n in numbers[a:b]) == text
+        assert [i for n in numbers[a:b] for i in alone[n]] == library.encode(text, add_special_tokens=False).ids
 
 
 def test_known_words_decide_on_the_way_only(spark, files, monkeypatch):
