@@ -33,17 +33,18 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import packed
-from .common import shuffle_partitions, slices
+from .common import shuffle_partitions
 
 # Words that occur more than once in about so many documents, at most so many.
 SAMPLED_DOCS = 8000
-KNOWN_WORDS = 1 << 18
+KNOWN_WORDS = 1 << 17
 
 BATCH_CHARS = 2_000_000
 
@@ -183,6 +184,23 @@ class _Cutter:
         return pieces
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows that hold about BATCH_CHARS of text, or a single one."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+        start = held = 0
+        for i, size in enumerate(sizes.tolist()):
+            if held and held + size > BATCH_CHARS:
+                yield batch.slice(start, i - start)
+                start, held = i, 0
+            held += size
+        if start < len(sizes):
+            yield batch.slice(start)
+        # What a batch took goes back to the system before the next one comes.
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def _gathered(flat: np.ndarray, first: np.ndarray, size: np.ndarray, which: np.ndarray) -> np.ndarray:
     """The runs of `flat` that begin at `first`, `size` long, in the order of `which`."""
     each = size[which]
@@ -191,8 +209,13 @@ def _gathered(flat: np.ndarray, first: np.ndarray, size: np.ndarray, which: np.n
 
 
 def _encoded(files: Files, words: list[str], tokenizer=None) -> list[bytes]:
+    # The library's results take over a kilobyte a word, so a few are made at a time.
     made = tokenizer or files.tokenizer()
-    return [np.array(e.ids, np.int32).tobytes() for e in made.encode_batch(words, add_special_tokens=False)]
+    return [
+        np.array(e.ids, np.int32).tobytes()
+        for at in range(0, len(words), 4096)
+        for e in made.encode_batch(words[at : at + 4096], add_special_tokens=False)
+    ]
 
 
 def known_words(docs: DataFrame, files: Files, total: int) -> tuple[list[str], list[bytes]]:
@@ -202,11 +225,11 @@ def known_words(docs: DataFrame, files: Files, total: int) -> tuple[list[str], l
     """
     drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < min(1.0, SAMPLED_DOCS / max(1, total)) * (1 << 20)
 
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = _Cutter(files)
-        for batch in slices(batches, "text", BATCH_CHARS):
-            words, seq, _ = cut.numbers(batch["text"].to_list())
-            yield pd.DataFrame({"word": words, "n": np.bincount(seq, minlength=len(words))})
+        for rows in _slices(batches):
+            words, seq, _ = cut.numbers(rows.column("text").to_pylist())
+            yield pa.RecordBatch.from_pydict({"word": words, "n": np.bincount(seq, minlength=len(words))})
 
     def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = files.tokenizer()
@@ -214,7 +237,7 @@ def known_words(docs: DataFrame, files: Files, total: int) -> tuple[list[str], l
             yield batch.assign(ids=_encoded(files, batch["word"].tolist(), tokenizer))
 
     sample = docs.where(F.col("text").isNotNull()).where(drawn).select("text")
-    counts = sample.mapInPandas(counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = sample.mapInArrow(counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     most = counts.where("n > 1").orderBy(F.desc("n"), "word").limit(KNOWN_WORDS)
     # A bounded number of words, encoded in tasks.
     rows = most.mapInPandas(encoded, "word string, n long, ids binary").toPandas().sort_values(
@@ -237,13 +260,13 @@ def encode(docs: DataFrame, files: Files) -> DataFrame:
     known, known_ids = known_words(docs, files, size["n"])
     buckets = max(shuffle_partitions(docs.sparkSession), size["chars"] // BUCKET_CHARS + 1)
 
-    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = _Cutter(files)
         place = {word: i for i, word in enumerate(known)}
         none = len(known)
         task = TaskContext.get().partitionId() << 32
-        for turn, batch in enumerate(slices(batches, "text", BATCH_CHARS)):
-            words, seq, sizes = cut.numbers(batch["text"].to_list())
+        for turn, rows in enumerate(_slices(batches)):
+            words, seq, sizes = cut.numbers(rows.column("text").to_pylist())
             # Known words come first, in order of their number, which is that of
             # their frequency: small numbers are frequent and pack well.
             at = np.array([place.get(w, none) for w in words], np.int64)
@@ -251,17 +274,16 @@ def encode(docs: DataFrame, files: Files) -> DataFrame:
             rank = np.empty(len(words), np.int32)
             rank[order] = np.arange(len(words), dtype=np.int32)
             lengths, cold = _blobs([words[i].encode() for i in order[np.count_nonzero(at < none) :]])
-            yield pd.DataFrame(
-                {
-                    "batch": [task | turn],
-                    "docs": [batch["doc_id"].astype("Int64").tolist()],
-                    "sizes": [sizes.astype(np.int32).tobytes()],
-                    "seq": [_packed(rank[seq])],
-                    "known": [_packed(np.diff(np.sort(at[at < none]), prepend=0))],
-                    "lengths": [lengths],
-                    "words": [cold],
-                }
-            )
+            made = {
+                "batch": [task | turn],
+                "docs": [rows.column("doc_id").cast(pa.int64()).to_pylist()],
+                "sizes": [sizes.astype(np.int32).tobytes()],
+                "seq": [_packed(rank[seq])],
+                "known": [_packed(np.diff(np.sort(at[at < none]), prepend=0))],
+                "lengths": [lengths],
+                "words": [cold],
+            }
+            yield pa.RecordBatch.from_pydict(made)
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
@@ -282,7 +304,8 @@ def encode(docs: DataFrame, files: Files) -> DataFrame:
         tokenizer = files.tokenizer()
         held: list[dict] = []
         for rows in batches:
-            for row in rows.to_pylist():
+            for i in range(rows.num_rows):
+                row = rows.slice(i, 1).to_pylist()[0]
                 # Rows come by bucket.
                 if held and held[0]["bucket"] != row["bucket"]:
                     yield from _answers(held, files, tokenizer)
@@ -319,7 +342,7 @@ def encode(docs: DataFrame, files: Files) -> DataFrame:
         )
 
     # Both uses below read this shuffle, so that texts are cut once.
-    batches = docs.mapInPandas(split, _BATCH).repartition("batch")
+    batches = docs.mapInArrow(split, _BATCH).repartition("batch")
     asks = batches.mapInArrow(asked, "bucket int, batch long, place binary, lengths binary, words binary")
     table = asks.repartition("bucket").sortWithinPartitions("bucket")
     answers = table.mapInArrow(answered, "batch long, place binary, sizes binary, ids binary")
