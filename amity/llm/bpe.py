@@ -38,6 +38,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from . import packed
 from .common import shuffle_partitions
@@ -47,6 +48,7 @@ SAMPLED_DOCS = 8000
 KNOWN_WORDS = 1 << 17
 
 BATCH_CHARS = 2_000_000
+BATCH_TOKENS = 500_000
 
 # Text whose rarer words make about one bucket.
 BUCKET_CHARS = 1 << 26
@@ -188,19 +190,25 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows that hold about BATCH_CHARS of text, or a single one."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
-        start = held = 0
-        for i, size in enumerate(sizes.tolist()):
-            if held and held + size > BATCH_CHARS:
-                yield batch.slice(start, i - start)
-                start, held = i, 0
-            held += size
-        if start < len(sizes):
-            yield batch.slice(start)
+        for start, end in _runs(sizes.tolist(), BATCH_CHARS):
+            yield batch.slice(start, end - start)
         # What a batch took goes back to the system before the next one comes.
         del batch
         pa.default_memory_pool().release_unused()
 
 
+def _runs(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Rows in order, so many together that their sizes stay within `most`, or single ones."""
+    start = held = 0
+    for i, size in enumerate(sizes):
+        if held and held + size > most:
+            yield start, i
+            start, held = i, 0
+        held += size
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
 def _gathered(flat: np.ndarray, first: np.ndarray, size: np.ndarray, which: np.ndarray) -> np.ndarray:
     """The runs of `flat` that begin at `first`, `size` long, in the order of `which`."""
     each = size[which]
@@ -423,23 +431,26 @@ def decode(tokens: DataFrame, files: Files) -> DataFrame:
     # As many as the vocabulary has, whatever there is to decode.
     table = pieces(files)
 
-    def joined(ids: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piece = np.array([*table, b""], object)
-        for batch in ids:
-            texts = []
-            for found in batch:
-                if found is None:
-                    texts.append(None)
-                    continue
-                at = np.asarray(found)
-                if at.dtype.kind != "i":
-                    at = np.nan_to_num(at.astype(float), nan=-1).astype(np.int64)
-                at = np.where((at >= 0) & (at < len(table)), at, len(table))
-                texts.append(b"".join(piece[at].tolist()).decode("utf-8", "replace"))
-            yield pd.Series(texts, dtype=object)
-
-    stay = [tokens[c] for c in tokens.columns if c != "text"]
-    return tokens.select(*stay, F.pandas_udf(joined, "string")(tokens["ids"]).alias("text"))
+        for batch in batches:
+            tokens_of = pc.fill_null(pc.list_value_length(batch.column("ids")), 0).to_numpy(zero_copy_only=False)
+            for start, end in _runs(tokens_of.tolist(), BATCH_TOKENS):
+                part = batch.slice(start, end - start)
+                ids = part.column("ids")
+                at = pc.fill_null(ids.flatten(), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+                found = piece[np.where((at >= 0) & (at < len(table)), at, len(table))].tolist()
+                ends = np.cumsum(tokens_of[start:end]).tolist()
+                texts = [
+                    b"".join(found[a:b]).decode("utf-8", "replace") if known else None
+                    for a, b, known in zip([0, *ends], ends, ids.is_valid().to_pylist())
+                ]
+                columns = [part.column(c) for c in stay]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], [*stay, "text"])
+
+    stay = [c for c in tokens.columns if c != "text"]
+    schema = StructType([*[tokens.schema[c] for c in stay], StructField("text", StringType())])
+    return tokens.select(*stay).mapInArrow(joined, schema)
 
 
 def _packed(numbers: np.ndarray) -> bytes:
