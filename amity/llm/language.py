@@ -13,8 +13,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .common import slices
 
@@ -128,8 +131,8 @@ def fit(labelled: DataFrame, texts: int = TEXTS_PER_LANGUAGE) -> Model:
     return Model(languages, logs.T.astype(np.float32).copy(), used.T.copy())
 
 
-def label(docs: DataFrame, model: Model) -> DataFrame:
-    """`docs` with lang_pred, score and spans.
+def label(docs: DataFrame, model: Model, spans: bool = True) -> DataFrame:
+    """`docs` with lang_pred, score and, if asked for, spans.
 
     `lang_pred` is the language of most letters, `und` if the text is null or
     has no letter; `score` is its share of the letters, 0 for `und`. `spans`
@@ -137,22 +140,54 @@ def label(docs: DataFrame, model: Model) -> DataFrame:
     learned language everything is `und`. All columns of `docs` stay, but for
     one of these three names.
     """
-    @F.pandas_udf("lang_pred string, score double, spans array<struct<first_word:int,last_word:int,lang:string>>")
-    def labelled(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in texts:
-            found = [
-                _label_texts(part["text"], model) for part in slices([batch.to_frame("text")], "text")
-            ]
-            yield pd.DataFrame(
-                {
-                    "lang_pred": [x for lang, _, _ in found for x in lang],
-                    "score": np.concatenate([score for _, score, _ in found] or [np.zeros(0)]),
-                    "spans": [x for _, _, spans in found for x in spans],
-                }
-            )
-
-    stay = [docs[c] for c in docs.columns if c not in ("lang_pred", "score", "spans")]
-    return docs.select(*stay, labelled(docs["text"]).alias("_label")).select(*stay, "_label.*")
+    stay = [c for c in docs.columns if c not in ("lang_pred", "score", "spans")]
+    names = {c: f"c{i}" for i, c in enumerate(stay)}
+    return _labelled(docs.select(*[docs[c].alias(n) for c, n in names.items()], docs["text"].alias("text")), model, spans).select(
+        *[F.col(n).alias(c) for c, n in names.items()], "lang_pred", "score", *(["spans"] if spans else [])
+    )
+
+
+def accepted(docs: DataFrame, model: Model, least: float) -> DataFrame:
+    """The rows of `docs` with `least` of their letters or more in one language, unchanged."""
+    names = {c: "text" if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)}
+    labelled = _labelled(docs.select(*[docs[c].alias(n) for c, n in names.items()]), model, False)
+    kept = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)
+    return labelled.where(kept).select(*[F.col(n).alias(c) for c, n in names.items()])
+
+
+def _labelled(docs: DataFrame, model: Model, spans: bool) -> DataFrame:
+    span = "array<struct<first_word:int,last_word:int,lang:string>>"
+    added = [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
+    if spans:
+        added.append(StructType.fromDDL(f"spans {span}")["spans"])
+
+    def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _slices(batch):
+                langs, scores, found = _label_texts(pd.Series(part.column("text").to_pylist(), dtype=object), model)
+                made = [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
+                if spans:
+                    made.append(pa.array(found, pa.list_(_SPAN)))
+                yield pa.RecordBatch.from_arrays([*part.columns, *made], [*part.schema.names, *_ADDED[: len(made)]])
+
+    return docs.mapInArrow(labelled, StructType([*docs.schema.fields, *added]))
+
+
+_ADDED = ["lang_pred", "score", "spans"]
+_SPAN = pa.struct([("first_word", pa.int32()), ("last_word", pa.int32()), ("lang", pa.string())])
+
+
+def _slices(batch: pa.RecordBatch, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """Rows with about `most` bytes of text or a single one; results of no more are held."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
+    start = held = 0
+    for i, size in enumerate(sizes):
+        if held and held + size > most:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += size
+    if start < len(sizes):
+        yield batch.slice(start)
 
 
 def _label_texts(texts: pd.Series, model: Model) -> tuple[list, np.ndarray, list]:

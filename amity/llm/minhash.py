@@ -1,7 +1,8 @@
 """Near duplicates by consistent weighted sampling over TF-IDF shingles.
 
 1. Words become shingles of five words; a bucketed shuffle counts in how many
-   documents each shingle is and tells the documents. Shingles of one document
+   documents each shingle is. A batch of documents asks a bucket for all its
+   shingles there in one row and is answered in one row. Shingles of one document
    only can't be shared, so of them a document keeps just the total weight. A
    document whose shared weight is too small for any partner is done.
 2. Improved consistent weighted sampling draws samples from the shared
@@ -20,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +36,9 @@ SIMILARITY = 0.8
 # the rarest; documents beyond packed.COMMON_SHARE don't lower it further.
 RARITY = 0.5
 
+# Text whose shingles make about one bucket.
+BUCKET_CHARS = 1 << 24
+
 BANDS = 10
 ROWS = 3
 PIVOTS = 6
@@ -76,94 +81,145 @@ def idf(df: np.ndarray | float, total: int) -> np.ndarray | float:
 
 
 def vectors(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, total, shared, vector) of the documents that may have a near duplicate.
+    """(row, doc_id, total, shared, vector) of the rows that may have a near duplicate.
 
-    `vector` packs the shared shingles, sorted: 40 bits of hash, 24 of weight in
-    units of 1/256. `shared` is their weight by GROUPS groups of hashes, and
-    `total` the weight of all shingles, in the same units.
+    `docs` has `row`, doc_id and text. `vector` packs the shared shingles, sorted:
+    40 bits of hash, 24 of weight in units of 1/256. `shared` is their weight by
+    GROUPS groups of hashes, and `total` the weight of all shingles, in the same
+    units. Weights follow from exact numbers of documents.
     """
-    docs = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
-    total = max(docs.count(), 2)
-    common = packed.common_keys(docs, lambda texts: _distinct(*shingled(texts)))
-    n = min(shuffle_partitions(docs.sparkSession), 1 << 16)
+    size = docs.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.char_length("text")), F.lit(0)).alias("chars")).first()
+    total = max(size["n"], 2)
+    common = packed.common_keys(docs, _shingles_of, size["n"])
+    common_weight = idf(packed.counts_of(docs, common, _shingles_of), total)
+    n = max(shuffle_partitions(docs.sparkSession), size["chars"] // BUCKET_CHARS + 1)
     single = idf(1, total)
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in slices(batches, "text", 8_000_000):
+        task = TaskContext.get().partitionId() << 32
+        for turn, batch in enumerate(slices(batches, "text")):
             owner, keys = shingled(batch["text"])
-            if not len(owner):
-                continue
             many = np.bincount(owner, minlength=len(batch))
-            ids = batch["doc_id"].to_numpy(np.int64)
+            owner, keys, times = _counted(owner, keys)
+            # Common shingles are known already and go along with the batch.
             hot = packed.is_in(keys, common)
+            weight = common_weight[np.searchsorted(common, keys[hot])] if hot.any() else np.zeros(0)
+            own = {
+                "rows": batch["row"].to_numpy(np.int64).tobytes(),
+                "ids": batch["doc_id"].to_numpy(np.int64).tobytes(),
+                "many": many.astype(np.int64).tobytes(),
+                "owner": packed.narrow(owner[hot]),
+                "times": packed.narrow(times[hot]),
+                "entry": _entries(keys[hot], times[hot] * weight).tobytes(),
+            }
+            yield _told(batch=task | turn, bucket=hash(task | turn) % n, **{k: [v] for k, v in own.items()})
+            owner, keys, times = owner[~hot], keys[~hot], times[~hot]
             bucket = packed.bucket_of(keys, n)
-            # Common shingles are dealt by document: they are known already.
-            bucket[hot] = packed.bucket_of(packed.mixed(ids[owner[hot]].astype(np.uint64)), n)
-            key = bucket.astype(np.uint64) << np.uint64(48) | owner.astype(np.uint64) << np.uint64(32)
-            ordered, first = np.unique(key | keys & np.uint64(0xFFFFFFFF), return_index=True)
-            times = np.bincount(np.searchsorted(ordered, key | keys & np.uint64(0xFFFFFFFF)))
-            yield packed.blobs(
-                ids,
-                (ordered >> np.uint64(48)).astype(np.int64),
-                (ordered >> np.uint64(32) & np.uint64(0xFFFF)).astype(np.int64),
-                (ordered & np.uint64(0xFFFFFFFF)).astype(np.uint32),
-                np.where(hot[first], -times, times),
-                many,
+            order = np.argsort(bucket, kind="stable")
+            edges = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+            parts = [x for x in np.split(order, edges[1:]) if len(x)]
+            yield _told(
+                batch=task | turn,
+                bucket=[int(bucket[x[0]]) for x in parts],
+                owner=[packed.narrow(owner[x]) for x in parts],
+                times=[packed.narrow(times[x]) for x in parts],
+                entry=[_low_bits(keys[x]) for x in parts],
             )
 
     def look(rows: pd.DataFrame) -> pd.DataFrame:
-        keys = packed.joined(rows["keys"], np.uint32)
-        times = packed.joined(rows["times"], np.int32)
-        docs_ = packed.joined(rows["docs"], np.int64)
-        sizes = packed.joined(rows["sizes"], np.int32)
-        many = packed.joined(rows["extra"], np.int32)
-        ordered = np.sort(keys)
-        df = np.searchsorted(ordered, keys, "right") - np.searchsorted(ordered, keys, "left")
-        hot = times < 0
-        keep = (df > 1) | hot
-        weight = np.abs(times) * np.where(hot, 1 + RARITY * _least(total), idf(df, total))
-        units = np.minimum(np.rint(weight * 256), (1 << 24) - 1).astype(np.uint64)
-        seed = np.uint64(rows["bucket"].iloc[0])
-        # Common shingles are no keys of this bucket, and must look alike in all.
-        origin = np.where(hot, np.uint64(1 << 40), seed << np.uint64(32))
-        hashed = packed.mixed(origin | keys.astype(np.uint64)) >> np.uint64(24)
-        entry = (hashed << np.uint64(24) | units)[keep]
-        owner = np.repeat(np.arange(len(docs_)), sizes)
-        ends = np.cumsum(np.bincount(owner[keep], minlength=len(docs_)))
-        known = np.bincount(owner[keep], np.abs(times[keep]), len(docs_))
-        data = entry.tobytes()
-        has = np.flatnonzero(np.diff(np.concatenate([[0], ends])))
+        own = rows[rows["rows"].notna()]
+        asks = rows[rows["rows"].isna()]
+        if not len(asks):
+            return own
+        seed = np.uint64(asks["bucket"].iloc[0]) << np.uint64(40)
+        each = [seed | _from_low_bits(x) for x in asks["entry"]]
+        ordered, df = np.unique(np.concatenate(each), return_counts=True)
+        out = []
+        for row, key in zip(asks.itertuples(index=False), each):
+            often = df[np.searchsorted(ordered, key)]
+            keep = often > 1
+            if keep.any():
+                times = packed.widened(row.times)[keep]
+                entry = _entries(key[keep], times * idf(often[keep], total))
+                owner = packed.narrow(packed.widened(row.owner)[keep])
+                out.append((row.batch, owner, packed.narrow(times), entry.tobytes()))
+        answers = pd.DataFrame(out, columns=["batch", "owner", "times", "entry"])
+        told = _told(bucket=0, **{c: answers[c].to_list() for c in answers})
+        return pd.concat([own, told], ignore_index=True) if len(own) else told
+
+    def gather(rows: pd.DataFrame) -> pd.DataFrame:
+        own = rows[rows["rows"].notna()].iloc[0]
+        row, ids = np.frombuffer(own["rows"], np.int64), np.frombuffer(own["ids"], np.int64)
+        many = np.frombuffer(own["many"], np.int64)
+        owner = np.concatenate([packed.widened(x) for x in rows["owner"]])
+        times = np.concatenate([packed.widened(x) for x in rows["times"]])
+        entry = packed.joined(rows["entry"], np.uint64)
+        order = np.lexsort((entry, owner))
+        owner, entry = owner[order], entry[order]
+        ends = np.searchsorted(owner, np.arange(len(row) + 1))
+        group = (entry >> np.uint64(24) & np.uint64(GROUPS - 1)).astype(np.int64)
+        units = (entry & np.uint64(0xFFFFFF)).astype(float)
+        shared = np.bincount(owner * GROUPS + group, units, len(row) * GROUPS).astype(np.int64).reshape(-1, GROUPS)
+        known = np.bincount(owner, times[order], len(row)).astype(np.int64)
+        whole = shared.sum(axis=1) + np.rint((many - known) * single * 256).astype(np.int64)
+        keep = np.flatnonzero((shared.sum(axis=1) >= similarity * whole) & (many > 0))
         return pd.DataFrame(
             {
-                "doc_id": docs_[has],
-                "many": many[has],
-                "known": known[has].astype(np.int64),
-                "part": [data[8 * a : 8 * b] for a, b in zip(np.concatenate([[0], ends])[has], ends[has])],
+                "row": row[keep],
+                "doc_id": ids[keep],
+                "total": whole[keep],
+                "shared": pd.Series([shared[i] for i in keep], dtype=object),
+                "vector": pd.Series([entry[ends[i] : ends[i + 1]].tobytes() for i in keep], dtype=object),
             }
         )
 
-    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for doc, many, known, parts in batch.itertuples(index=False):
-                vector = np.sort(np.frombuffer(b"".join(parts), np.uint64))
-                group = (vector >> np.uint64(24) & np.uint64(GROUPS - 1)).astype(np.int64)
-                shared = np.bincount(group, (vector & np.uint64(0xFFFFFF)).astype(float), GROUPS).astype(np.int64)
-                whole = int(shared.sum()) + round(max(0, many - known) * single * 256)
-                if shared.sum() >= similarity * whole:
-                    rows.append((doc, whole, shared, vector.tobytes()))
-            yield pd.DataFrame(rows, columns=["doc_id", "total", "shared", "vector"])
-
-    parts = docs.mapInPandas(deal, packed.BLOBS).groupBy("bucket").applyInPandas(
-        look, "doc_id long, many long, known long, part binary"
+    # Buckets of a given size each, as many tasks as there are of them.
+    dealt = docs.mapInPandas(deal, _TOLD).repartition(n, "bucket")
+    answers = dealt.groupBy("bucket").applyInPandas(look, _TOLD)
+    return answers.groupBy("batch").applyInPandas(
+        gather, "row long, doc_id long, total long, shared array<long>, vector binary"
     )
-    # A row that is repeated as a whole gives the same parts twice.
-    whole = parts.groupBy("doc_id").agg(
-        F.max("many").alias("many"),
-        F.sum("known").alias("known"),
-        F.collect_set("part").alias("parts"),
-    )
-    return whole.mapInPandas(build, "doc_id long, total long, shared array<long>, vector binary")
+
+
+_TOLD = "bucket int, batch long, rows binary, ids binary, many binary, owner binary, times binary, entry binary"
+
+
+def _told(**columns) -> pd.DataFrame:
+    """Rows of an exchange with the given columns and nulls in the others."""
+    kinds = dict(part.split() for part in _TOLD.split(", "))
+    made = pd.DataFrame(columns)
+    made = made.assign(**{name: None for name in kinds if name not in made})[list(kinds)]
+    return made.astype({name: object for name, kind in kinds.items() if kind == "binary"})
+
+
+def _low_bits(keys: np.ndarray) -> bytes:
+    """40 bits of each key; the bucket has the highest ones."""
+    return keys.astype(np.uint32).tobytes() + (keys >> np.uint64(32)).astype(np.uint8).tobytes()
+
+
+def _from_low_bits(data: bytes) -> np.ndarray:
+    n = len(data) // 5
+    low = np.frombuffer(data, np.uint32, n).astype(np.uint64)
+    return np.frombuffer(data, np.uint8, n, 4 * n).astype(np.uint64) << np.uint64(32) | low
+
+
+def _entries(keys: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    units = np.minimum(np.rint(weight * 256), (1 << 24) - 1).astype(np.uint64)
+    return packed.mixed(keys) >> np.uint64(24) << np.uint64(24) | units
+
+
+def _counted(owner: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each document's distinct shingles and how often it has them."""
+    order = np.lexsort((keys, owner))
+    owner, keys = owner[order], keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (np.diff(owner) != 0) | (keys[1:] != keys[:-1])
+    first = np.flatnonzero(new)
+    return owner[first], keys[first], np.diff(np.append(first, len(keys)))
+
+
+def _shingles_of(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    return _counted(*shingled(texts))[:2]
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -171,15 +227,27 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
 
     Documents are in one class if links of `similarity` or more connect them.
     Documents without words and rows with a null id are classes of their own
-    (a null id has a null class). Rows with equal ids count as one document
-    that has the shingles of all. Columns beside doc_id and text are ignored.
+    (a null id has a null class). Rows with equal ids and texts have one class;
+    rows with equal ids and other texts are documents of their own. Columns
+    beside doc_id and text are ignored.
     """
-    found = written(vectors(docs, similarity), "vectors")
+    return _classes(docs, similarity).select("doc_id", "class_id")
+
+
+def _row(docs: DataFrame) -> Column:
+    """What stands for a row: equal for equal ids and texts only."""
+    return F.xxhash64(docs["doc_id"], docs["text"])
+
+
+def _classes(docs: DataFrame, similarity: float) -> DataFrame:
+    """(doc_id, row, class_id, first): `first` is the row that stands for the class."""
+    rows = docs.select(docs["doc_id"], docs["text"], _row(docs).alias("row"))
+    found = written(vectors(rows.where(F.col("doc_id").isNotNull()), similarity), "vectors")
     keyed = found.withColumn("same", F.md5("vector"))
-    # Equal vectors are one class; from here on the smallest id stands for it.
+    # Equal vectors are one class; from here on one row stands for it.
     classes = written(
-        keyed.groupBy("same", "total").agg(F.min(F.struct("doc_id", "shared", "vector")).alias("least"))
-        .select("same", "total", F.col("least.doc_id").alias("rep"), "least.shared", "least.vector"),
+        keyed.groupBy("same", "total").agg(F.min(F.struct("row", "shared", "vector")).alias("least"))
+        .select("same", "total", F.col("least.row").alias("rep"), "least.shared", "least.vector"),
         "classes",
     )
     bands = written(classes.mapInPandas(_bands, "band long, rep long, total long, known long, shared array<long>"), "bands")
@@ -200,39 +268,43 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
         roots = components(links)
 
     named = roots.select(F.col("node").alias("named"), "root")
-    reps = keyed.select("doc_id", F.concat("same", F.lit("#")).alias("k"), "total").join(
+    reps = keyed.select("row", "doc_id", F.concat("same", F.lit("#")).alias("k"), "total").join(
         classes.select(F.concat("same", F.lit("#")).alias("ck"), F.col("total").alias("ct"), "rep"),
         (F.col("k") == F.col("ck")) & (F.col("total") == F.col("ct")),
     )
-    grouped = reps.join(named, F.col("rep") == F.col("named"), "left").select(
-        F.col("doc_id").alias("member"), F.coalesce("root", "rep").alias("class")
+    grouped = written(
+        reps.join(named, F.col("rep") == F.col("named"), "left").select(
+            F.col("row").alias("member"), "doc_id", F.coalesce("root", "rep").alias("group")
+        ),
+        "groups",
+    )
+    least = (
+        grouped.groupBy("group")
+        .agg(F.min(F.struct("doc_id", "member")).alias("least"))
+        .select(F.bitwise_not("group").alias("of"), "least.*")
+        .toDF("of", "class", "first")
+    )
+    told = (
+        grouped.select("member", "group")
+        .distinct()
+        .join(least, F.bitwise_not("group") == F.col("of"))
+        .select("member", "class", "first")
     )
-    return docs.select("doc_id").join(grouped, F.col("doc_id") == F.col("member"), "left").select(
-        "doc_id", F.coalesce("class", "doc_id").alias("class_id")
+    return rows.select("doc_id", "row").join(told, F.bitwise_not("row") == F.bitwise_not("member"), "left").select(
+        "doc_id", "row", F.coalesce("class", "doc_id").alias("class_id"), F.coalesce("first", "row").alias("first")
     )
 
 
 def deduplicated(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """`docs` with one document of each class: the one with the smallest id.
 
-    All columns stay. Of rows that repeat that id all stay, as do null ids.
+    All columns stay. Documents without words and null ids all stay. If a row is
+    there several times as a whole (its id and text), all of them stay or go; of
+    other texts with the smallest id one stays.
     """
-    classes = near_duplicates(docs, similarity)
-    gone = classes.where("doc_id <> class_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.bitwise_not("doc_id") == F.bitwise_not("_gone"), "left_anti")
-
-
-def _distinct(owner: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.lexsort((keys, owner))
-    owner, keys = owner[order], keys[order]
-    new = np.ones(len(keys), bool)
-    new[1:] = (np.diff(owner) != 0) | (keys[1:] != keys[:-1])
-    return owner[new], keys[new]
-
-
-def _least(total: int) -> float:
-    """The part of idf that a common shingle has."""
-    return (idf(total, total) - 1) / RARITY
+    classes = _classes(docs, similarity)
+    gone = classes.where("row <> first").select(F.bitwise_not("row").alias("_gone")).distinct()
+    return docs.join(gone, F.bitwise_not(_row(docs)) == F.col("_gone"), "left_anti")
 
 
 def _gamma_table() -> np.ndarray:

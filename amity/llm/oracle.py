@@ -46,13 +46,12 @@ tri AS (SELECT doc_id, s, list_slice(w, s, s + 2) AS g
 twice AS (SELECT doc_id, s FROM tri QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
 covered AS (SELECT doc_id, count(DISTINCT p) AS n
             FROM (SELECT doc_id, unnest([s, s + 1, s + 2]) AS p FROM twice) GROUP BY doc_id),
-ln AS (SELECT doc_id, host, t, unnest(lines) AS l FROM d),
-norm AS (SELECT doc_id, host, t, len({_WORDS.format("l")}) AS n,
+ln AS (SELECT doc_id, host, unnest(lines) AS l FROM d),
+norm AS (SELECT doc_id, host, len({_WORDS.format("l")}) AS n,
            regexp_replace(trim(regexp_replace(lower(l), '[\x20\x09-\x0D]+', ' ', 'g')), '[0-9]+', '0', 'g') AS line
          FROM ln),
-sizes AS (SELECT host, count(DISTINCT t) AS host_docs FROM d GROUP BY host),
-frequent AS (SELECT host, line FROM norm JOIN sizes USING (host) GROUP BY host, line, host_docs
-             HAVING count(DISTINCT t) > 20 AND count(DISTINCT t) > 0.01 * host_docs),
+-- Distinct documents, copies included, against one limit for hosts of any size.
+frequent AS (SELECT host, line FROM norm GROUP BY host, line HAVING count(DISTINCT doc_id) > 20),
 lost AS (SELECT doc_id, sum(n)::BIGINT AS lost FROM norm JOIN frequent USING (host, line) GROUP BY doc_id),
 f AS (
   SELECT doc_id, len(w)::BIGINT AS n_words,

@@ -2,12 +2,12 @@
 
 A row per (document, key) costs more than the key itself. Here a task packs the
 keys of its documents by bucket, and a bucket holds the same keys of all
-documents, whoever has them. The number of buckets follows the number of
-shuffle partitions, so a bucket does not grow with the corpus.
+documents, whoever has them.
 
 Keys that a noticeable share of all documents has would still fill one bucket.
-`common_keys` finds them in a bounded sample of documents; callers handle them
-before the shuffle. The sample decides on the way only, never on a result.
+`common_keys` finds them in a bounded sample of documents; callers count them
+over all documents before the shuffle (`counts_of`). So the sample decides on
+the way only, never on a result.
 """
 
 from __future__ import annotations
@@ -99,18 +99,33 @@ def joined(column: pd.Series, dtype) -> np.ndarray:
     return np.frombuffer(b"".join(column), dtype)
 
 
+def narrow(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 on in as few bytes each as the largest takes."""
+    most = int(numbers.max(initial=0))
+    width = next(w for w in (1, 2, 4, 8) if most < 1 << 8 * w)
+    return bytes([width]) + numbers.astype(f"u{width}").tobytes()
+
+
+def widened(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"u{data[0]}", offset=1).astype(np.int64)
+
+
 def common_keys(
-    docs: DataFrame, keys_of: Callable[[pd.Series], tuple[np.ndarray, np.ndarray]], share: float = COMMON_SHARE
+    docs: DataFrame,
+    keys_of: Callable[[pd.Series], tuple[np.ndarray, np.ndarray]],
+    total: int | None = None,
+    share: float = COMMON_SHARE,
 ) -> np.ndarray:
-    """Keys (sorted) of more than `share` of about SAMPLED_DOCS documents.
+    """Keys (sorted) of more than `share` of about SAMPLED_DOCS of `total` documents.
 
     `keys_of` gives (document index, key) pairs, each once. A document has few
-    keys, so the result is bounded by its mean length over `share`.
+    keys, so the result is bounded by its mean length over `share`. Documents
+    are drawn by their id, so copies are drawn apart.
     """
-    total = docs.count()
+    total = docs.count() if total is None else total
     if not total:
         return np.zeros(0, np.uint64)
-    drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < min(1.0, SAMPLED_DOCS / total) * (1 << 20)
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < min(1.0, SAMPLED_DOCS / total) * (1 << 20)
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in slices(batches, "text"):
@@ -125,6 +140,26 @@ def common_keys(
     return np.sort(np.array([r["k"] for r in found.collect()], np.int64).astype(np.uint64))
 
 
+def counts_of(
+    docs: DataFrame, keys: np.ndarray, keys_of: Callable[[pd.Series], tuple[np.ndarray, np.ndarray]]
+) -> np.ndarray:
+    """In how many documents each of some sorted keys is, over all documents."""
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = np.zeros(len(keys), np.int64)
+        for batch in slices(batches, "text"):
+            found = keys_of(batch["text"])[1]
+            sums += np.bincount(np.searchsorted(keys, found[is_in(found, keys)]), minlength=len(keys))
+        yield pd.DataFrame({"place": np.arange(len(keys)), "n": sums})
+
+    out = np.zeros(len(keys), np.int64)
+    if len(keys):
+        rows = docs.select("text").mapInPandas(counted, "place long, n long")
+        for row in rows.groupBy("place").agg(F.sum("n").alias("n")).collect():  # as many as keys
+            out[row["place"]] = row["n"]
+    return out
+
+
 def is_in(keys: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     if not len(ordered):
         return np.zeros(len(keys), bool)

@@ -99,7 +99,7 @@ def op8_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     held = remainder(F.col("doc_id"), 3)
     model = language.fit(docs.where((held == 0) | (held == 2)).select("text", "lang"))
-    return language.label(docs.select("doc_id", "text"), model).select(
+    return language.label(docs.select("doc_id", "text"), model, spans=False).select(
         "doc_id", (held == 1).alias("held_out"), "lang_pred", "score"
     )
 

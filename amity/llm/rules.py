@@ -15,9 +15,8 @@ MAX_REPEAT_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
 HAS_WORD = r"[^\x20\x09-\x0D]"
 
-# A line is removed if more documents of its host have it than both of these.
+# A line is removed if more documents of its host than this have it.
 LINE_DOCS = 20
-LINE_SHARE = 0.01
 
 # A document is depleted if more than this share of its words is in such lines.
 MAX_LOSS = 0.5
@@ -26,18 +25,22 @@ MAX_LOSS = 0.5
 # with more are sorted instead. Both ways give the same number.
 LISTED_WINDOWS = 64
 
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
 
 def with_counts(docs: DataFrame) -> DataFrame:
     """`docs` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words.
 
     Null texts count as empty. `n_dup_lines` are lines with a word that equal
     an earlier one; `n_repeat_words` are words inside windows of three words
-    that occur twice or more in the text, first occurrences included.
+    that occur twice or more in the text, first occurrences included. All columns
+    stay, but for those of one of these five names.
     """
+    stay = [c for c in docs.columns if c not in COUNTS]
     text = F.coalesce("text", F.lit(""))
     full = F.filter(F.split(text, "\n"), lambda line: line.rlike(HAS_WORD))
     ready = docs.select(
-        *[docs[c] for c in docs.columns],
+        *[docs[c] for c in stay],
         words(F.col("text")).alias("_words"),
         full.alias("_lines"),
         F.char_length(F.regexp_replace(text, r"[\x20\x09-\x0D]+", "")).alias("_chars"),
@@ -49,7 +52,7 @@ def with_counts(docs: DataFrame) -> DataFrame:
     )
     nothing = F.array().cast("array<bigint>")
     counted = ready.select(
-        *docs.columns,
+        *stay,
         n.cast("bigint").alias("n_words"),
         F.col("_chars").cast("bigint").alias("word_chars"),
         F.col("_symbols").cast("bigint").alias("n_symbols"),
@@ -102,36 +105,27 @@ def normal_line(line: Column) -> Column:
 
 
 def host_lines(docs: DataFrame) -> DataFrame:
-    """(host, text_key, line, n) for each line with a word; n counts its words."""
+    """(host, text_key, doc, line, n) for each line with a word; n counts its words.
+
+    `doc` is the id, or what stands for the text if there is none.
+    """
     entry = F.transform(
         F.filter(F.split("text", "\n"), lambda x: x.rlike(HAS_WORD)),
         lambda x: F.struct(F.xxhash64(normal_line(x)).alias("line"), F.size(words(x)).alias("n")),
     )
     # The outer form keeps Spark from testing the array before it is made.
-    return docs.select(*_keys(), F.inline_outer(entry)).where(F.col("line").isNotNull())
+    doc = F.coalesce("doc_id", F.xxhash64("text")).alias("doc")
+    return docs.select(*_keys(), doc, F.inline_outer(entry)).where(F.col("line").isNotNull())
 
 
-def frequent_lines(
-    docs: DataFrame, lines: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE
-) -> DataFrame:
-    """(host, line) of the lines that too many documents of their host have.
+def frequent_lines(lines: DataFrame, line_docs: int = LINE_DOCS) -> DataFrame:
+    """(host, line) of the lines that more than `line_docs` documents of their host have.
 
-    Documents with equal texts count once: they are copies, which is a matter
-    of deduplication. Counts cover all documents.
+    Every document counts, copies too, and counts once however often it has the
+    line. The limit is the same for a host of any size.
     """
-    shared = (
-        lines.select("host", "line", "text_key")
-        .distinct()
-        .groupBy("host", "line")
-        .agg(F.count("*").alias("n_docs"))
-        .where(F.col("n_docs") > line_docs)
-    )
-    sizes = docs.select(*_keys()).distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
-    sizes = sizes.select(F.concat("host", F.lit(" ")).alias("host_of"), "host_docs")
-    shared = shared.select("host", "line", "n_docs", F.concat("host", F.lit(" ")).alias("of"))
-    return shared.join(sizes, F.col("of") == F.col("host_of")).where(
-        F.col("n_docs") > line_share * F.col("host_docs")
-    ).select("host", "line")
+    counts = lines.groupBy("host", "line").agg(F.count_distinct("doc").alias("n_docs"))
+    return counts.where(F.col("n_docs") > line_docs).select("host", "line")
 
 
 def depleted_texts(docs: DataFrame, lines: DataFrame, frequent: DataFrame) -> DataFrame:
@@ -164,7 +158,7 @@ def judged(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select("doc_id", "text", "source")
     lines = host_lines(docs)
-    lost = depleted_texts(docs, lines, frequent_lines(docs, lines))
+    lost = depleted_texts(docs, lines, frequent_lines(lines))
     lost = lost.select(
         F.concat("host", F.lit(" ")).alias("lost_host"),
         F.bitwise_not("text_key").alias("lost_text"),
@@ -194,7 +188,7 @@ def without_frequent_lines(docs: DataFrame) -> DataFrame:
     Line order stays; a null text stays null.
     """
     lines = host_lines(docs)
-    marks = frequent_lines(docs, lines).select(
+    marks = frequent_lines(lines).select(
         F.concat("host", F.lit(" ")).alias("mark_host"), F.bitwise_not("line").alias("mark_line")
     )
     same = (F.concat("host", F.lit(" ")) == F.col("mark_host")) & (
@@ -213,14 +207,14 @@ def without_frequent_lines(docs: DataFrame) -> DataFrame:
     host, key = _keys()
     joined = docs.join(
         drop,
-        (F.concat(host, F.lit(" ")) == F.col("_host")) & (F.bitwise_not(key) == F.col("_text")),
+        (F.concat(host, F.lit(" ")) == drop["_host"]) & (F.bitwise_not(key) == drop["_text"]),
         "left",
     )
     stays = F.filter(
-        F.split("text", "\n"),
-        lambda x: ~x.rlike(HAS_WORD) | ~F.array_contains("_drop", F.xxhash64(normal_line(x))),
+        F.split(docs["text"], "\n"),
+        lambda x: ~x.rlike(HAS_WORD) | ~F.array_contains(drop["_drop"], F.xxhash64(normal_line(x))),
     )
-    text = F.when(F.col("_drop").isNull(), F.col("text")).otherwise(F.array_join(stays, "\n"))
+    text = F.when(drop["_drop"].isNull(), docs["text"]).otherwise(F.array_join(stays, "\n"))
     return joined.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns])
 
 

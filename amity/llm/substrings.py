@@ -317,37 +317,71 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     Every byte covered by a string of `length` bytes that starts anywhere else
     as well is removed, the first occurrence too. A null text is empty. Rows
-    with equal id and text are separate occurrences. All columns stay.
+    with equal id and text are separate occurrences. All columns stay, but for
+    those of one of these three names.
     """
-    return _cut(_with_spans(docs, length), docs)
+    stay = [c for c in docs.columns if c not in ("kept", "n_bytes", "removed")]
+    cut, names = _cut(docs, length, whole_characters=False)
+    return cut.select(*[F.col(names[c]).alias(c) for c in stay], "_cut.*")
 
 
-def _with_spans(docs: DataFrame, length: int) -> DataFrame:
-    keyed = docs.select(
-        "*", _id(docs).alias("_id"), F.xxhash64(docs["text"]).alias("_hash")
-    )
-    found = repeated_spans(keyed, length).select(
-        F.col("id").alias("_of"), F.col("hash").alias("_of_hash"), F.col("spans").alias("_spans")
+def trimmed(docs: DataFrame, size: str | None = None, length: int = LENGTH) -> DataFrame:
+    """`docs` with its repeats taken out of `text`, all columns as they were.
+
+    A character of which a byte is covered goes as a whole, so nothing but
+    repeats is lost; other characters stay, U+FFFD too. Texts of which nothing
+    is left go; empty and null ones stay as they are. `size` names a column that
+    gets the number of characters of texts that changed.
+    """
+    cut, names = _cut(docs, length, whole_characters=True)
+    changed = F.size("_cut.removed") > 0
+    kept = F.col("_cut.kept").cast("string")
+    new = {"text": F.when(changed, kept).otherwise(F.col("text"))}
+    if size in docs.columns:
+        old = F.col(names[size])
+        new[size] = F.when(changed, F.char_length(kept).cast(docs.schema[size].dataType)).otherwise(old)
+    return cut.where(~changed | (F.octet_length("_cut.kept") > 0)).select(
+        *[new.get(c, F.col(names[c])).alias(c) for c in docs.columns]
     )
-    same = (F.col("_id") == F.col("_of")) & (F.col("_hash") == F.col("_of_hash"))
-    return keyed.join(found, same, "left").drop("_id", "_hash", "_of", "_of_hash")
 
 
-def _cut(joined: DataFrame, docs: DataFrame) -> DataFrame:
+def _cut(docs: DataFrame, length: int, whole_characters: bool) -> tuple[DataFrame, dict[str, str]]:
+    """Documents with a struct `_cut` (kept, n_bytes, removed), and what columns are named in it."""
+
     @F.pandas_udf("kept binary, n_bytes long, removed array<struct<first:int,last:int>>")
     def cut(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
         kept, sizes, removed = [], [], []
         for text, found in zip(texts, spans):
             data = text.encode() if isinstance(text, str) else b""
             gone = merged(found) if found is not None else []
+            if whole_characters:
+                gone = [_widened(data, a, b) for a, b in gone]
             edges = [0, *[x for span in gone for x in span], len(data)]
             kept.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2])))
             sizes.append(len(data))
             removed.append([{"first": a, "last": b} for a, b in gone])
         return pd.DataFrame({"kept": kept, "n_bytes": sizes, "removed": removed})
 
-    stay = [joined[c] for c in docs.columns]
-    return joined.select(*stay, cut("text", "_spans").alias("_cut")).select(*stay, "_cut.*")
+    # Columns get names of their own, so that none can clash with those made here.
+    names = {c: "text" if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)}
+    keyed = docs.select(
+        *[docs[c].alias(name) for c, name in names.items()], _id(docs).alias("_id"), F.xxhash64(docs["text"]).alias("_hash")
+    )
+    found = repeated_spans(keyed, length).select(
+        F.col("id").alias("_of"), F.col("hash").alias("_of_hash"), F.col("spans").alias("_spans")
+    )
+    same = (F.col("_id") == F.col("_of")) & (F.col("_hash") == F.col("_of_hash"))
+    joined = keyed.join(found, same, "left")
+    return joined.select(*names.values(), cut("text", "_spans").alias("_cut")), names
+
+
+def _widened(data: bytes, first: int, last: int) -> tuple[int, int]:
+    """A span moved outward to where characters of UTF-8 begin."""
+    while first and data[first] & 0xC0 == 0x80:
+        first -= 1
+    while last < len(data) and data[last] & 0xC0 == 0x80:
+        last += 1
+    return first, last
 
 
 def _id(docs: DataFrame) -> Column:

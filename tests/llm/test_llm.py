@@ -69,7 +69,7 @@ def empty(spark):
 @pytest.mark.parametrize("name", list(oracle.ORACLE))
 def test_same_rows_as_sql(spark, name):
     con = duckdb.connect()
-    for table in "documents pages benchmark conversations".split():
+    for table in "documents embeddings pages benchmark conversations".split():
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     assert check(queries.QUERIES[name](spark, SF_DIR), con, oracle.ORACLE[name]) > 0
 
@@ -143,13 +143,98 @@ def test_components(spark):
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100, 103: 100}
 
 
-def jaccard(a, b):
-    def grams(t):
-        w = t.split()
-        return Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4)))
-
-    x, y = grams(a), grams(b)
-    return sum((x & y).values()) / sum((x | y).values())
+def grams(text):
+    w = text.lower().encode().split()
+    return Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else Counter()
+
+
+def weighted(texts):
+    """Weights of all shingles, from how many of all texts have them."""
+    every = [grams(t or "") for t in texts]
+    df = Counter(g for x in every for g in x)
+    total = max(len(texts), 2)
+    rounded = lambda n, g: round(float(n * minhash.idf(np.float64(df[g]), total)) * 256)
+    return [{g: rounded(n, g) for g, n in x.items()} for x in every]
+
+
+def likeness(x, y):
+    both = sum(min(n, y[g]) for g, n in x.items() if g in y)
+    return both / (sum(x.values()) + sum(y.values()) - both)
+
+
+def classes_by_force(ids, texts, similarity=0.8):
+    """The smallest id of each text's class, all pairs compared; near misses apart."""
+    vectors = weighted(texts)
+    holders = {}
+    for i, x in enumerate(vectors):
+        for g in x:
+            holders.setdefault(g, []).append(i)
+    pairs = {(a, b) for held in holders.values() if len(held) < 400 for k, a in enumerate(held) for b in held[k + 1 :]}
+    root = list(range(len(texts)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    close = 0
+    for a, b in pairs:
+        alike = likeness(vectors[a], vectors[b])
+        close += abs(alike - similarity) < 0.002
+        if alike >= similarity and top(a) != top(b):
+            root[max(top(a), top(b))] = min(top(a), top(b))
+    least = {}
+    for i in range(len(texts)):
+        least[top(i)] = min(least.get(top(i), ids[i]), ids[i])
+    return [least[top(i)] for i in range(len(texts))], close
+
+
+def test_near_duplicates_against_all_pairs(spark):
+    docs = common.table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    want, close = classes_by_force(*zip(*rows))
+    got = dict(minhash.near_duplicates(docs).collect())
+    wrong = [i for (i, _), c in zip(rows, want) if got[i] != c]
+    # Only banding may miss a link, and rounding may tip one at the limit.
+    assert len(wrong) <= close + 0.01 * len(rows), (len(wrong), close)
+
+
+def test_a_drawn_group_of_copies_changes_no_weight(spark):
+    """A group of copies among the sampled documents, and an edited copy at the limit."""
+    base = words(200, seed=77, of=100_000).split()
+    edited = base[:]
+    edited[100:106] = [f"new{i}" for i in range(6)]
+    texts = [" ".join(base)] * 100 + [" ".join(edited)] + [words(200, seed=1000 + i, of=100_000) for i in range(1900)]
+    ids = list(range(len(texts)))
+    want, _ = classes_by_force(ids, texts)
+    df = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    assert [c for _, c in sorted(minhash.near_duplicates(df).collect())] == want
+    found = {r.doc_id: r.total for r in minhash.vectors(df.withColumn("row", F.xxhash64("doc_id", "text"))).collect()}
+    vectors = weighted(texts)
+    assert all(abs(found[i] - sum(vectors[i].values())) < 100 for i in (0, 50, 99))
+
+
+def test_one_id_with_several_texts(spark):
+    a, b = words(100, seed=1, of=9999), words(100, seed=2, of=9999)
+    near = a.rsplit(" ", 1)[0] + " end"
+    rows = [(1, a), (2, near), (2, b), (2, b), (3, b), (None, a)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(str, minhash.near_duplicates(df).collect()))
+    want = [(1, 1), (2, 1), (2, 2), (2, 2), (3, 2), (None, None)]
+    assert got == sorted(f"Row(doc_id={i}, class_id={c})" for i, c in want)
+    kept = Counter((r.doc_id, r.text) for r in minhash.deduplicated(df).collect())
+    assert kept == Counter({(1, a): 1, (2, b): 2, (None, a): 1})
+
+
+def test_long_chains_take_few_rounds(spark, monkeypatch):
+    order = list(range(1500))
+    random.Random(2).shuffle(order)
+    edges = spark.createDataFrame(list(zip(order, order[1:])), "a long, b long")
+    rounds = []
+    real = common.written
+    monkeypatch.setattr("amity.llm.components.written", lambda df, name: rounds.append(name) or real(df, name))
+    assert {r.root for r in components(edges).collect()} == {0}
+    assert len(rounds) <= 2 + 2 * math.log2(1500)
 
 
 def test_near_duplicates_of_a_large_group(spark):
@@ -264,6 +349,26 @@ def test_rules_on_odd_rows(odd, empty, spark):
     assert cut[5] == words(60, seed=5) and cut[100] == words(50)
 
 
+@pytest.mark.parametrize("host_docs", [200, 2500])
+def test_line_limit_is_the_same_for_any_host(spark, host_docs):
+    rows = [(i, "s", f"{words(60, seed=i)}\n{'boiler plate of the host' if i < 30 else ''}") for i in range(host_docs)]
+    # Copies are documents too, but a document is one however often it has a line.
+    rows += [(10_000 + i, "s", words(60, seed=9999)) for i in range(25)]
+    rows += [(20_000, "s", "\n".join(["again and again"] * 30) + words(60, seed=5)), (20_001, "s", words(60, seed=6))]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = {r.doc_id: r for r in rules.judged(docs).collect()}
+    assert {got[i].n_lost_words for i in range(30)} == {5} and got[40].n_lost_words == 0
+    assert all(got[10_000 + i].n_lost_words == 60 and not got[10_000 + i].kept for i in range(25))
+    assert got[20_000].n_lost_words == 0 and got[20_001].kept
+
+
+def test_counts_beside_columns_of_their_names(spark):
+    docs = spark.createDataFrame([(1, "a a a a", 5, "x", "y")], "doc_id long, text string, n_words int, _drop string, source string")
+    got = rules.with_counts(docs)
+    assert got.columns == ["doc_id", "text", "_drop", "source", *rules.COUNTS] and got.first().n_words == 4
+    assert rules.without_frequent_lines(docs).first() == docs.first()
+
+
 def repeat_words(text):
     w = text.split()
     grams = Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
@@ -461,6 +566,24 @@ def test_repeats_are_cut_from_documents(spark, odd, empty):
     assert got == want
     assert substrings.without_repeats(odd).columns[: len(odd.columns)] == odd.columns
     assert substrings.without_repeats(empty).count() == 0
+    clash = odd.select("doc_id", "text", F.col("row").alias("kept"), F.col("score").alias("c0"), F.lit(1).alias("_id"))
+    assert substrings.without_repeats(clash).columns == ["doc_id", "text", "c0", "_id", "kept", "n_bytes", "removed"]
+    assert substrings.trimmed(clash).columns == clash.columns
+
+
+def test_only_halved_characters_go(spark):
+    passage = "é" * 300
+    rows = [(1, f"\ufffd own é \ufffd a{passage}z", 9), (2, f"b\u00ca{passage}y \ufffd", 9), (3, passage[:100], 9), (4, passage, 9)]
+    rows += [(5, None, None), (6, "", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars int")
+    got = {r.doc_id: (r.text, r.n_chars) for r in substrings.trimmed(docs, "n_chars").collect()}
+    assert got == {
+        1: ("\ufffd own é \ufffd az", 12),
+        2: ("b\u00cay \ufffd", 5),
+        3: (passage[:100], 9),
+        5: (None, None),
+        6: ("", 0),
+    }
 
 
 def test_words_are_told_apart():
@@ -468,6 +591,19 @@ def test_words_are_told_apart():
     assert len(set(packed.word_hashes(unique).tolist())) == len(set(unique))
 
 
+def test_stages_on_odd_rows(spark, odd, empty):
+    odd = odd.withColumnRenamed("row", "lang_pred").withColumn("kept", F.lit("x")).withColumn("_cut", F.lit(1))
+    empty = empty.withColumnRenamed("row", "lang_pred").withColumn("kept", F.lit("x")).withColumn("_cut", F.lit(1))
+    # Documents that stay, by stage; the two of mixing's result are all rows.
+    want = {"language_id": 7, "minhash_near_dedup": 7, "suffix_array_dedup": 6, "benchmark_decontamination": 10, "mixing": 10}
+    for name, stage in corpus_pipeline.STAGES:
+        after = stage(spark, odd, SF_DIR)
+        rows = after.collect()
+        assert len(rows) == want[name], (name, rows)
+        assert name == "mixing" or after.columns == odd.columns
+        assert stage(spark, empty, SF_DIR).count() == 0, name
+
+
 def test_pipeline(spark):
     docs = common.table(spark, SF_DIR, "documents")
     now = docs
