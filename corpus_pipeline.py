@@ -21,16 +21,20 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a known language; those without letters or of no main language go.
 
     The model learns from the labelled documents that operator 8 may learn from.
+    Null and empty texts have no letters and go; repeated rows fare alike, and an
+    empty table stays empty. All columns stay as they are.
     """
     held = remainder(F.col("doc_id"), 3)
     model = language.fit(docs.where((held == 0) | (held == 2)).select("text", "lang"))
-    labelled = language.label(docs, model)
-    kept = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SHARE)
-    return labelled.where(kept).select(*docs.columns)
+    return language.accepted(docs, model, MIN_LANGUAGE_SHARE)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id."""
+    """One document of each group of near duplicates, the one with the smallest id.
+
+    Texts without words (null ones too) and rows with a null id are no duplicates
+    and stay. Rows with equal id and text stay or go together. All columns stay.
+    """
     return minhash.deduplicated(docs)
 
 
@@ -38,31 +42,29 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents without the long strings that occur elsewhere too.
 
     A character of which a byte is removed goes as a whole. `n_chars` follows
-    the text. Documents of which nothing is left go.
+    texts that changed. Documents of which nothing is left go; null and empty
+    texts stay. Repeated rows are occurrences of their own, so equal texts of the
+    minimum length or more lose all that they share.
     """
-    cut = substrings.without_repeats(docs)
-    kept = F.col("kept").cast("string")
-    # Bytes of halved characters become U+FFFD, and that goes.
-    whole = F.when(F.is_valid_utf8(kept), kept).otherwise(
-        F.replace(F.make_valid_utf8(kept), F.lit("\ufffd"), F.lit(""))
-    )
-    text = F.when(F.size("removed") > 0, whole).otherwise(F.col("text"))
-    changed = cut.select(
-        *[text.alias("text") if c == "text" else cut[c] for c in docs.columns], F.size("removed").alias("_n")
-    )
-    n_chars = F.when(F.col("_n") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
-    return changed.where((F.col("_n") == 0) | (F.char_length("text") > 0)).select(
-        *[n_chars.alias("n_chars") if c == "n_chars" else changed[c] for c in docs.columns]
-    )
+    return substrings.trimmed(docs, size="n_chars")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than a twentieth is benchmark passages."""
+    """Documents of which less than a twentieth is benchmark passages.
+
+    Null and empty texts have none and stay, and so do all documents if the
+    benchmark is empty. Rows with equal ids are judged each by its own text.
+    """
     return contamination.uncontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How often each document is taken so that the sources meet their targets."""
+    """How often each document is taken so that the sources meet their targets.
+
+    A null source is one of its own and the last; null and empty texts have no
+    words and are not taken. Every row is in the result, and an empty table gives
+    an empty one.
+    """
     return mixing.mixed(docs)
 
 
