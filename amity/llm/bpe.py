@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from . import packed
-from .common import shuffle_partitions
+from .common import arrow_slices, runs, shuffle_partitions
 
 # Words that occur more than once in about so many documents, at most so many.
 SAMPLED_DOCS = 8000
@@ -186,29 +186,6 @@ class _Cutter:
         return pieces
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows that hold about BATCH_CHARS of text, or a single one."""
-    for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
-        for start, end in _runs(sizes.tolist(), BATCH_CHARS):
-            yield batch.slice(start, end - start)
-        # What a batch took goes back to the system before the next one comes.
-        del batch
-        pa.default_memory_pool().release_unused()
-
-
-def _runs(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
-    """Rows in order, so many together that their sizes stay within `most`, or single ones."""
-    start = held = 0
-    for i, size in enumerate(sizes):
-        if held and held + size > most:
-            yield start, i
-            start, held = i, 0
-        held += size
-    if start < len(sizes):
-        yield start, len(sizes)
-
-
 def _gathered(flat: np.ndarray, first: np.ndarray, size: np.ndarray, which: np.ndarray) -> np.ndarray:
     """The runs of `flat` that begin at `first`, `size` long, in the order of `which`."""
     each = size[which]
@@ -235,7 +212,7 @@ def known_words(docs: DataFrame, files: Files, total: int) -> tuple[list[str], l
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = _Cutter(files)
-        for rows in _slices(batches):
+        for rows in arrow_slices(batches, max_bytes=BATCH_CHARS):
             words, seq, _ = cut.numbers(rows.column("text").to_pylist())
             yield pa.RecordBatch.from_pydict({"word": words, "n": np.bincount(seq, minlength=len(words))})
 
@@ -273,7 +250,7 @@ def encode(docs: DataFrame, files: Files) -> DataFrame:
         place = {word: i for i, word in enumerate(known)}
         none = len(known)
         task = TaskContext.get().partitionId() << 32
-        for turn, rows in enumerate(_slices(batches)):
+        for turn, rows in enumerate(arrow_slices(batches, max_bytes=BATCH_CHARS)):
             words, seq, sizes = cut.numbers(rows.column("text").to_pylist())
             # Known words come first, in order of their number, which is that of
             # their frequency: small numbers are frequent and pack well.
@@ -435,7 +412,7 @@ def decode(tokens: DataFrame, files: Files) -> DataFrame:
         piece = np.array([*table, b""], object)
         for batch in batches:
             tokens_of = pc.fill_null(pc.list_value_length(batch.column("ids")), 0).to_numpy(zero_copy_only=False)
-            for start, end in _runs(tokens_of.tolist(), BATCH_TOKENS):
+            for start, end in runs(tokens_of.tolist(), BATCH_TOKENS):
                 part = batch.slice(start, end - start)
                 ids = part.column("ids")
                 at = pc.fill_null(ids.flatten(), -1).to_numpy(zero_copy_only=False).astype(np.int64)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,15 +53,45 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def runs(sizes: list[int], most: int):
+    """(start, end) of rows in order whose sizes add up to `most` at most, or of single ones."""
+    start = held = 0
+    for i, size in enumerate(sizes):
+        if held and held + size > most:
+            yield start, i
+            start, held = i, 0
+        held += size
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
 def slices(batches, column: str, max_chars: int = 2_000_000):
     """Batches cut so that each holds about `max_chars` of text or a single row."""
     for batch in batches:
-        sizes = batch[column].str.len().fillna(0).to_numpy()
-        start = held = 0
-        for i, size in enumerate(sizes):
-            if held and held + size > max_chars:
-                yield batch.iloc[start:i]
-                start, held = i, 0
-            held += size
-        if start < len(batch):
-            yield batch.iloc[start:]
+        sizes = batch[column].str.len().fillna(0).tolist()
+        for start, end in runs(sizes, max_chars):
+            yield batch.iloc[start:end]
+        del batch
+        give_back()
+
+
+def arrow_slices(batches, column: str = "text", max_bytes: int = 2_000_000):
+    """Arrow batches cut so that each holds about `max_bytes` of text or a single row."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        for start, end in runs(sizes, max_bytes):
+            yield batch.slice(start, end - start)
+        del batch
+        give_back()
+
+
+def give_back() -> None:
+    """Freed memory goes back to the system.
+
+    A Python worker is used again by later stages, and what the allocator keeps
+    for it is missing there.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

@@ -14,18 +14,20 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import slices
+from .common import arrow_slices, slices
 
 UNKNOWN = "und"
 
 # The model is fitted on about this many texts of each language.
 TEXTS_PER_LANGUAGE = 1500
 
+# Text that is labelled together.
+LABEL_BYTES = 1_000_000
+
 TABLE_BITS = 15
 SMOOTHING = 0.05
 SWITCH = 12.0
@@ -162,13 +164,12 @@ def _labelled(docs: DataFrame, model: Model, spans: bool) -> DataFrame:
         added.append(StructType.fromDDL(f"spans {span}")["spans"])
 
     def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in _slices(batch):
-                langs, scores, found = _label_texts(pd.Series(part.column("text").to_pylist(), dtype=object), model)
-                made = [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
-                if spans:
-                    made.append(pa.array(found, pa.list_(_SPAN)))
-                yield pa.RecordBatch.from_arrays([*part.columns, *made], [*part.schema.names, *_ADDED[: len(made)]])
+        for part in arrow_slices(batches, max_bytes=LABEL_BYTES):
+            langs, scores, found = _label_texts(pd.Series(part.column("text").to_pylist(), dtype=object), model)
+            made = [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
+            if spans:
+                made.append(pa.array(found, pa.list_(_SPAN)))
+            yield pa.RecordBatch.from_arrays([*part.columns, *made], [*part.schema.names, *_ADDED[: len(made)]])
 
     return docs.mapInArrow(labelled, StructType([*docs.schema.fields, *added]))
 
@@ -177,19 +178,6 @@ _ADDED = ["lang_pred", "score", "spans"]
 _SPAN = pa.struct([("first_word", pa.int32()), ("last_word", pa.int32()), ("lang", pa.string())])
 
 
-def _slices(batch: pa.RecordBatch, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
-    """Rows with about `most` bytes of text or a single one; results of no more are held."""
-    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
-    start = held = 0
-    for i, size in enumerate(sizes):
-        if held and held + size > most:
-            yield batch.slice(start, i - start)
-            start, held = i, 0
-        held += size
-    if start < len(sizes):
-        yield batch.slice(start)
-
-
 def _label_texts(texts: pd.Series, model: Model) -> tuple[list, np.ndarray, list]:
     n = len(texts)
     langs, shares, spans = [UNKNOWN] * n, np.zeros(n), [[] for _ in range(n)]
