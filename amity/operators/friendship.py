@@ -223,20 +223,40 @@ def mutual_friend_rows(closed: DataFrame) -> DataFrame:
 def asked_friends(edges: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The given pairs that are friends, and (a, b, friend_id) of their mutual friends.
 
-    Only pairs that list each other have mutual friends. For each of them the
-    list of the end that lists fewer users is looked up among the edges of the
-    other end; no row is made for a pair that is not asked for.
+    Only pairs that list each other have mutual friends. No row is made for a
+    pair that is not asked for.
     """
-    users = pairs.select(F.explode(F.array("a", "b")).alias("user_id"))
-    own = lists_of(edges, users).where(F.col("user_id") != F.col("friend_id")).distinct()
+    own = _asked_edges(edges, pairs).where(F.col("user_id") != F.col("friend_id")).distinct()
     friends = in_pair_set(friend_pairs(own), pairs)
+    return friends, _in_both_lists(friends.where(F.col("listing") == BOTH_LIST), own)
+
+
+def common_friends(edges: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(a, b, friend_id): whom both users of a pair list, each once.
+
+    The pairs need not be friends; how often one is given makes no difference.
+    Only lists of users in some pair are read on.
+    """
+    own = _asked_edges(edges, pairs).distinct()
+    return _in_both_lists(canonical_pairs(pairs).distinct(), own)
+
+
+def _asked_edges(edges: DataFrame, pairs: DataFrame) -> DataFrame:
+    return lists_of(edges, pairs.select(F.explode(F.array("a", "b")).alias("user_id")))
+
+
+def _in_both_lists(pairs: DataFrame, own: DataFrame) -> DataFrame:
+    """(a, b, friend_id) for friends that `own`, distinct edges, lists for both ends.
+
+    The list of the end with fewer friends is looked up among the edges of the
+    other end, so a hub's list is not repeated for each pair it is in.
+    """
     sizes = own.groupBy("user_id").agg(F.count("*").alias("size"))
     of_a = sizes.select(_spread("user_id").alias("key_a"), F.col("size").alias("size_a"))
     of_b = sizes.select(_spread("user_id").alias("key_b"), F.col("size").alias("size_b"))
     a_first = F.col("size_a") <= F.col("size_b")
     both = (
-        friends.where(F.col("listing") == BOTH_LIST)
-        .join(of_a, _spread("a") == F.col("key_a"))
+        pairs.join(of_a, _spread("a") == F.col("key_a"))
         .join(of_b, _spread("b") == F.col("key_b"))
         .select(
             "a",
@@ -252,7 +272,7 @@ def asked_friends(edges: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFr
         (F.col("longer") == F.col("knower")) & (_spread("friend_id") == F.col("known")),
         "left_semi",
     )
-    return friends, rows.select("a", "b", "friend_id")
+    return rows.select("a", "b", "friend_id")
 
 
 def mutual_friend_lists(pairs: DataFrame, rows: DataFrame) -> DataFrame:

@@ -235,21 +235,9 @@ def topk_max_age(spark, sf_dir):
 
 
 def set_array_intersect(spark, sf_dir):
-    asked = friendship.canonical_pairs(views.asked_pairs(spark, sf_dir)).distinct()
-    lists = (
-        views.friend_edges(spark, sf_dir)
-        .groupBy("user_id")
-        .agg(F.collect_list("friend_id").alias("friends"))
-    )
-    of_a = lists.select(F.col("user_id").alias("a"), F.col("friends").alias("a_friends"))
-    of_b = lists.select(F.col("user_id").alias("b"), F.col("friends").alias("b_friends"))
-    ids = F.array_sort(fn.id_set_intersection(F.col("a_friends"), F.col("b_friends")))
-    return (
-        asked.join(of_a, "a")
-        .join(of_b, "b")
-        .select("a", "b", F.array_join(ids.cast("array<string>"), ", ").alias("common"))
-        .where(F.col("common") != "")
-    )
+    rows = friendship.common_friends(views.friend_edges(spark, sf_dir), views.asked_pairs(spark, sf_dir))
+    ids = F.array_sort(F.collect_list("friend_id")).cast("array<string>")
+    return rows.groupBy("a", "b").agg(F.array_join(ids, ", ").alias("common"))
 
 
 # --- scalar functions ----------------------------------------------------

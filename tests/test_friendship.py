@@ -113,6 +113,31 @@ def test_rows_are_made_for_asked_pairs_only(spark):
     assert sorted(got) == sorted((a, b, w) for a, b in asked for w in expected[a, b])
 
 
+@pytest.mark.parametrize("name", list(GRAPHS))
+def test_common_friends_of_any_two_users(spark, name):
+    arcs = GRAPHS[name]
+    listed = {}
+    for user, friend in arcs:
+        listed.setdefault(user, set()).add(friend)
+    users = sorted(listed)[:12]
+    asked = [(x, y) for x in users for y in users if x < y]
+    given = asked + [(y, x) for x, y in asked[:9]] + asked[:5] + [(users[0], users[0]), (users[0], 10**9)]
+    rows = friendship.common_friends(
+        edges(spark, arcs + arcs[:20]), spark.createDataFrame(given, "a long, b long")
+    ).collect()
+    got = [tuple(r) for r in rows]
+    assert len(got) == len(set(got))
+    assert set(got) == {(x, y, w) for x, y in asked for w in listed[x] & listed[y]}
+
+
+def test_lists_of_unasked_users_are_not_gathered(spark):
+    rows = friendship.common_friends(
+        edges(spark, GRAPHS["random"]), spark.createDataFrame([(1, 2)], "a long, b long")
+    )
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "LeftSemi" in plan
+
+
 def test_pairs_of_a_crowded_user_are_sliced(spark):
     slice_rows = 100
     pairs = friendship.friend_pairs(edges(spark, star_arcs(2000)))
