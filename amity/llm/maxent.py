@@ -30,6 +30,9 @@ ROUNDS = 2
 RATE = 0.5
 STEP_TOKENS = 4096
 WEIGHT_ROWS = 1 << 10
+
+# Tasks whose weights are averaged in one group first.
+PIECES = 128
 ADDED = 0.1
 
 END = b"\n"
@@ -85,14 +88,18 @@ def probabilities(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np
     return logits
 
 
-def train(docs: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+def train(
+    docs: DataFrame, rounds: int = ROUNDS, common: np.ndarray = np.zeros(0, np.uint64)
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Weights (table row, class) and bias, trained on all texts of `docs`.
 
     The weights have a fixed size. Every document is used in one round, in
-    full; null texts count as empty.
+    full; null texts count as empty. On the way the `common` words, sorted
+    hashes, are counted in all texts: their numbers and classes come as well.
     """
     weights = np.zeros((1 << TABLE_BITS, CLASSES), np.float32)
     bias = np.zeros(CLASSES, np.float32)
+    counts, classes = np.zeros(len(common), np.int64), np.zeros(len(common), np.int64)
     for turn in range(rounds):
         share = docs.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == turn).select("text")
         old_weights, old_bias = weights, bias
@@ -100,44 +107,61 @@ def train(docs: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray
         def learn(batches: Iterator[pd.DataFrame], start=old_weights, start_bias=old_bias) -> Iterator[pd.DataFrame]:
             w, b = start.copy(), start_bias.copy()
             used = np.zeros(len(w), np.int64)
+            often, kind = np.zeros(len(common), np.int64), np.zeros(len(common), np.int64)
+            part = TaskContext.get().partitionId() // PIECES
             seen = 0
             for batch in slices(batches, "text"):
                 ids, unique, sizes = tokens(batch["text"])
-                rows = features(packed.word_hashes(unique)[ids], sizes)
-                target = classes_of(unique)[ids]
+                hashes, of = packed.word_hashes(unique), classes_of(unique)
+                hit = packed.is_in(hashes, common)
+                at = np.searchsorted(common, hashes[hit])
+                np.add.at(often, at, np.bincount(ids, minlength=len(unique))[hit])
+                kind[at] = of[hit]
+                rows = features(hashes[ids], sizes)
+                target = of[ids]
                 for at in range(0, len(ids), STEP_TOKENS):
                     _step(w, b, rows[at : at + STEP_TOKENS], target[at : at + STEP_TOKENS], used)
                 seen += len(ids)
             if not seen:
                 return
             for at in range(0, len(w), WEIGHT_ROWS):
-                part = slice(at, at + WEIGHT_ROWS)
-                moved = (w[part] - start[part]) * used[part, None]
-                yield pd.DataFrame(
-                    {"block": [at], "moved": [moved.astype(np.float32).tobytes()], "used": [used[part].astype(np.float64).tobytes()]}
-                )
-            yield pd.DataFrame(
-                {"block": [-1], "moved": [((b - start_bias) * seen).astype(np.float32).tobytes()], "used": [np.array([seen], np.float64).tobytes()]}
-            )
-
-        def average(rows: pd.DataFrame) -> pd.DataFrame:
-            moved = np.sum([np.frombuffer(x, np.float32) for x in rows["moved"]], axis=0, dtype=np.float64)
-            used = np.sum([np.frombuffer(x, np.float64) for x in rows["used"]], axis=0)
-            mean = moved.reshape(len(used), -1) / np.maximum(used, 1)[:, None]
-            return pd.DataFrame(
-                {"block": rows["block"].iloc[:1], "moved": [mean.astype(np.float32).tobytes()], "used": [b""]}
-            )
-
-        schema = "block int, moved binary, used binary"
-        learned = share.mapInPandas(learn, schema).groupBy("block").applyInPandas(average, schema)
+                rows = slice(at, at + WEIGHT_ROWS)
+                yield _piece(at, part, (w[rows] - start[rows]) * used[rows, None], used[rows])
+            yield _piece(_BIAS, part, (b - start_bias) * seen, [seen])
+            # Classes of a word are all alike, so they come out as a mean.
+            yield _piece(_COUNTS, part, often, np.zeros(0))
+            yield _piece(_CLASSES, part, kind * (often > 0), often > 0)
+
+        def add(rows: pd.DataFrame) -> pd.DataFrame:
+            moved, used = (np.sum([np.frombuffer(x) for x in rows[c]], axis=0) for c in ("moved", "used"))
+            return _piece(int(rows["block"].iloc[0]), 0, moved, used)
+
+        # A group holds PIECES pieces, and then one for each PIECES tasks.
+        schema = "block int, part int, moved binary, used binary"
+        few = share.mapInPandas(learn, schema).groupBy("block", "part").applyInPandas(add, schema)
         weights, bias = weights.copy(), bias.copy()
-        for row in learned.collect():  # the weights, of fixed size
-            moved = np.frombuffer(row["moved"], np.float32).reshape(-1, CLASSES)
-            if row["block"] < 0:
-                bias += moved[0]
+        for row in few.groupBy("block").applyInPandas(add, schema).collect():  # the weights, of fixed size
+            moved, used = np.frombuffer(row["moved"]), np.frombuffer(row["used"])
+            if row["block"] == _COUNTS:
+                counts += moved.astype(np.int64)
+            elif row["block"] == _CLASSES:
+                found = used > 0
+                classes[found] = np.rint(moved[found] / used[found])
+            elif row["block"] == _BIAS:
+                bias += (moved / used).astype(np.float32)
             else:
-                weights[row["block"] : row["block"] + WEIGHT_ROWS] += moved
-    return weights, bias
+                mean = moved.reshape(len(used), -1) / np.maximum(used, 1)[:, None]
+                weights[row["block"] : row["block"] + WEIGHT_ROWS] += mean.astype(np.float32)
+    return weights, bias, counts, classes
+
+
+_BIAS, _COUNTS, _CLASSES = -1, -2, -3
+
+
+def _piece(block: int, part: int, moved: np.ndarray, used: np.ndarray) -> pd.DataFrame:
+    """What a task adds to a block: sums, and the numbers they are to be divided by."""
+    data = [np.asarray(x, np.float64).tobytes() for x in (moved, used)]
+    return pd.DataFrame({"block": [block], "part": [part], "moved": data[:1], "used": data[1:]})
 
 
 def _step(w: np.ndarray, b: np.ndarray, rows: np.ndarray, target: np.ndarray, used: np.ndarray) -> None:
@@ -167,10 +191,9 @@ def scored(docs: DataFrame, held_out_of: int = 10) -> DataFrame:
     held = remainder(F.col("doc_id"), held_out_of) == 0
     docs = docs.select("doc_id", "text", held.alias("held_out"), F.xxhash64("doc_id", "text").alias("row"))
     learned = docs.where(~F.col("held_out"))
-    weights, bias = train(learned)
     n = shuffle_partitions(docs.sparkSession)
     common = packed.common_keys(docs, _document_words)
-    common_counts, common_classes = _counts_of(learned, common)
+    weights, bias, common_counts, common_classes = train(learned, common=common)
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         task = TaskContext.get().partitionId() << 32
@@ -369,28 +392,3 @@ def _document_words(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     owner = np.repeat(np.arange(len(texts)), sizes)
     pair = np.unique(owner << 32 | ids)
     return pair >> 32, packed.word_hashes(unique)[pair & 0xFFFFFFFF]
-
-
-def _counts_of(docs: DataFrame, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """How often each of the given words is in all texts, and its class."""
-
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = np.zeros(len(common), np.int64)
-        classes = np.zeros(len(common), np.int64)
-        for batch in slices(batches, "text"):
-            ids, unique, _ = tokens(batch["text"])
-            hashes = packed.word_hashes(unique)
-            often = np.bincount(ids, minlength=len(unique))
-            hit = packed.is_in(hashes, common)
-            at = np.searchsorted(common, hashes[hit])
-            np.add.at(sums, at, often[hit])
-            classes[at] = classes_of(unique)[hit]
-        yield pd.DataFrame({"at": np.arange(len(common)), "n": sums, "c": classes})
-
-    sums = np.zeros(len(common), np.int64)
-    classes = np.zeros(len(common), np.int64)
-    if len(common):
-        rows = docs.select("text").mapInPandas(counted, "at int, n long, c long")
-        for row in rows.groupBy("at").agg(F.sum("n").alias("n"), F.max("c").alias("c")).collect():
-            sums[row["at"]], classes[row["at"]] = row["n"], row["c"]
-    return sums, classes
