@@ -21,12 +21,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import packed
-from .common import shuffle_partitions, slices, written
+from .common import give_back, shuffle_partitions, slices, written
 from .components import components
 
 SHINGLE = 5
@@ -37,7 +38,7 @@ SIMILARITY = 0.8
 RARITY = 0.5
 
 # Text whose shingles make about one bucket.
-BUCKET_CHARS = 1 << 24
+BUCKET_CHARS = 1 << 23
 
 BANDS = 10
 ROWS = 3
@@ -131,12 +132,14 @@ def vectors(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         asks = rows[rows["rows"].isna()]
         if not len(asks):
             return own
+        give_back()
         seed = np.uint64(asks["bucket"].iloc[0]) << np.uint64(40)
-        each = [seed | _from_low_bits(x) for x in asks["entry"]]
-        ordered, df = np.unique(np.concatenate(each), return_counts=True)
+        ordered = np.concatenate([seed | _from_low_bits(x) for x in asks["entry"]])
+        ordered.sort()
         out = []
-        for row, key in zip(asks.itertuples(index=False), each):
-            often = df[np.searchsorted(ordered, key)]
+        for row in asks.itertuples(index=False):
+            key = seed | _from_low_bits(row.entry)
+            often = np.searchsorted(ordered, key, "right") - np.searchsorted(ordered, key, "left")
             keep = often > 1
             if keep.any():
                 times = packed.widened(row.times)[keep]
@@ -359,21 +362,24 @@ def _verified(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFr
     left = classes.select(F.col("rep").alias("ra"), F.col("total").alias("ta"), F.col("vector").alias("va"))
     right = classes.select(F.col("rep").alias("rb"), F.col("total").alias("tb"), F.col("vector").alias("vb"))
 
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mask = np.uint64(0xFFFFFF)
         for batch in batches:
+            # Vectors are read where they lie; as objects they would be there twice.
+            weight = batch.column("ta").to_numpy() + batch.column("tb").to_numpy()
             keep = []
-            for _, _, ta, va, tb, vb in batch.itertuples(index=False):
-                x, y = np.frombuffer(va, np.uint64), np.frombuffer(vb, np.uint64)
+            for va, vb, both_totals in zip(batch.column("va"), batch.column("vb"), weight.tolist()):
+                x, y = np.frombuffer(va.as_buffer(), np.uint64), np.frombuffer(vb.as_buffer(), np.uint64)
                 kx, ky = x >> np.uint64(24), y >> np.uint64(24)
                 at = np.minimum(np.searchsorted(ky, kx), len(ky) - 1)
                 same = ky[at] == kx
                 both = int(np.minimum(x[same] & mask, y[at[same]] & mask).sum())
-                keep.append(both >= similarity * (ta + tb - both) - 1)
-            yield batch.loc[np.array(keep, bool), ["a", "b"]]
+                keep.append(both >= similarity * (both_totals - both) - 1)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            give_back()
 
     met = pairs.join(right, F.col("b") == F.col("rb")).join(left, F.col("a") == F.col("ra"))
-    return met.select("a", "b", "ta", "va", "tb", "vb").mapInPandas(check, "a long, b long")
+    return met.select("a", "b", "ta", "va", "tb", "vb").mapInArrow(check, "a long, b long")
 
 
 def _member() -> Column:
