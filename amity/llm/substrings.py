@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import packed
-from .common import slices, written
+from .common import give_back, slices, written
 
 LENGTH = 400
 GRAM = 32
@@ -33,7 +33,7 @@ GRAM = 32
 STRETCH = 1 << 16
 
 # Bytes that are sorted together, unless one key has more.
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 19
 
 # No byte of UTF-8: it parts stretches and is greater than all bytes.
 BREAK = 0xFF
@@ -261,6 +261,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 if size >= BATCH_BYTES and row[0] != held[-1][0]:
                     yield _matched(held, length)
                     held, size = [], 0
+                    give_back()
                 held.append(row)
                 size += len(row[3])
         if held:
@@ -372,6 +373,8 @@ def _cut(docs: DataFrame, length: int, whole_characters: bool) -> tuple[DataFram
     )
     same = (F.col("_id") == F.col("_of")) & (F.col("_hash") == F.col("_of_hash"))
     joined = keyed.join(found, same, "left")
+    # Told not to be deterministic, a function is not run again for a filter on it.
+    cut = cut.asNondeterministic()
     return joined.select(*names.values(), cut("text", "_spans").alias("_cut")), names
 
 
