@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from . import packed
-from .common import arrow_slices, runs, shuffle_partitions
+from .common import arrow_slices, give_back, runs, shuffle_partitions
 
 # Words that occur more than once in about so many documents, at most so many.
 SAMPLED_DOCS = 8000
@@ -295,9 +295,12 @@ def encode(docs: DataFrame, files: Files) -> DataFrame:
                 if held and held[0]["bucket"] != row["bucket"]:
                     yield from _answers(held, files, tokenizer)
                     held = []
+                    give_back()
                 held.append(row)
         if held:
             yield from _answers(held, files, tokenizer)
+        held.clear()
+        give_back()
 
     starts = np.concatenate([[0], np.cumsum([len(x) // 4 for x in known_ids])]).astype(np.int64)
     flat = np.frombuffer(b"".join(known_ids), np.int32)
@@ -305,6 +308,7 @@ def encode(docs: DataFrame, files: Files) -> DataFrame:
     def set_in(key: tuple, rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         if not len(rows):
             return pd.DataFrame({"doc_id": pd.Series([], dtype="Int64"), "ids": []})
+        give_back()
         row = rows.iloc[0]
         at = np.cumsum(_unpacked(row["known"]))
         # Ids of all words of the batch: the known ones, then the answers.
@@ -424,6 +428,7 @@ def decode(tokens: DataFrame, files: Files) -> DataFrame:
                 ]
                 columns = [part.column(c) for c in stay]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], [*stay, "text"])
+            give_back()
 
     stay = [c for c in tokens.columns if c != "text"]
     schema = StructType([*[tokens.schema[c] for c in stay], StructField("text", StringType())])
