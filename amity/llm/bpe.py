@@ -33,22 +33,19 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from . import packed
-from .common import arrow_slices, give_back, runs, shuffle_partitions
+from .common import arrow_slices, give_back, shuffle_partitions
 
 # Words that occur more than once in about so many documents, at most so many.
 SAMPLED_DOCS = 8000
 KNOWN_WORDS = 1 << 17
 
 BATCH_CHARS = 2_000_000
-BATCH_TOKENS = 500_000
 
 # Text whose rarer words make about one bucket.
 BUCKET_CHARS = 1 << 26
@@ -407,32 +404,14 @@ def decode(tokens: DataFrame, files: Files) -> DataFrame:
     The same text as the library's `decode` with skip_special_tokens=False
     gives: bytes that are no UTF-8 become U+FFFD, ids without a piece nothing.
     Null ids give a null text, null members nothing. All columns stay, but for
-    one named `text`.
+    one named `text`. Only built-in functions: no Python workers.
     """
-    # As many as the vocabulary has, whatever there is to decode.
-    table = pieces(files)
-
-    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = np.array([*table, b""], object)
-        for batch in batches:
-            tokens_of = pc.fill_null(pc.list_value_length(batch.column("ids")), 0).to_numpy(zero_copy_only=False)
-            for start, end in runs(tokens_of.tolist(), BATCH_TOKENS):
-                part = batch.slice(start, end - start)
-                ids = part.column("ids")
-                at = pc.fill_null(ids.flatten(), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-                found = piece[np.where((at >= 0) & (at < len(table)), at, len(table))].tolist()
-                ends = np.cumsum(tokens_of[start:end]).tolist()
-                texts = [
-                    b"".join(found[a:b]).decode("utf-8", "replace") if known else None
-                    for a, b, known in zip([0, *ends], ends, ids.is_valid().to_pylist())
-                ]
-                columns = [part.column(c) for c in stay]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], [*stay, "text"])
-            give_back()
-
-    stay = [c for c in tokens.columns if c != "text"]
-    schema = StructType([*[tokens.schema[c] for c in stay], StructField("text", StringType())])
-    return tokens.select(*stay).mapInArrow(joined, schema)
+    # As many as the vocabulary has, whatever there is to decode. A byte travels
+    # as the character of its number; the table is folded into the plan once.
+    table = F.from_json(F.lit(json.dumps([p.decode("latin-1") for p in pieces(files)])), "array<string>")
+    joined = F.array_join(F.transform("ids", lambda i: F.get(table, i)), "")
+    text = F.make_valid_utf8(F.encode(joined, "ISO-8859-1").cast("string"))
+    return tokens.select(*[c for c in tokens.columns if c != "text"], text.alias("text"))
 
 
 def _packed(numbers: np.ndarray) -> bytes:
