@@ -11,6 +11,11 @@
    where neighbouring suffixes share n - 1 bytes. It stops at `LENGTH`; what
    has not been parted by then shares `LENGTH` bytes or more.
 4. What occurs twice is told to all documents that have the stretch.
+
+A gram that very many documents have, with other text around it, would bring all
+their stretches to one task. The stretches of such a key are dealt anew, as texts
+of their own, by the smallest hash of longer grams, and once more where that is
+not enough. Grams of `LENGTH` bytes come last: there only equal strings meet.
 """
 
 from __future__ import annotations
@@ -27,7 +32,15 @@ from . import packed
 from .common import give_back, slices, written
 
 LENGTH = 400
-GRAM = 32
+
+# Bytes of the grams whose hashes are keys; the last ones are the strings themselves.
+GRAMS = (32, 128, 256, 384)
+
+# Bytes of distinct stretches that one key may have before they are dealt anew.
+KEY_BYTES = 1 << 19
+
+# Stretches up to this number are told to all tasks; there are no more than that to broadcast.
+BROADCAST_PARTS = 100_000
 
 # Strings of one stretch at most; longer ones are cut, which loses nothing.
 STRETCH = 1 << 16
@@ -39,14 +52,19 @@ BATCH_BYTES = 1 << 19
 BREAK = 0xFF
 
 
-def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """Hashes of the GRAM bytes from each place on; the last ones are not valid."""
+def gram_hashes(data: np.ndarray, gram: int = GRAMS[0]) -> np.ndarray:
+    """Hashes of the `gram` bytes from each place on; the last ones are not valid."""
+
+    def after(h: np.ndarray, step: int) -> np.ndarray:
+        out = np.zeros_like(h)
+        out[: max(0, len(h) - step)] = h[step:]
+        return out
+
     h = packed.mixed(np.arange(256, dtype=np.uint64))[data]
     step, odd = 1, 0x9E3779B97F4A7C15
-    while step < GRAM:
-        after = np.zeros_like(h)
-        after[:-step] = h[step:]
-        h = h * np.uint64(odd) + after
+    while step < gram:
+        # The last two runs overlap if the length is no power of two.
+        h = h * np.uint64(odd) + after(h, min(step, gram - step))
         odd = (odd * 0xD1342543DE82EF95 + 2) % (1 << 64)
         step *= 2
     return packed.mixed(h)
@@ -64,7 +82,7 @@ def smallest(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(ahead[: n - width + 1], behind[width - 1 : n])
 
 
-def stretches(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, ...]:
+def stretches(texts: list[bytes], length: int = LENGTH, gram: int = GRAMS[0]) -> tuple[np.ndarray, ...]:
     """(text index, first start, number of starts, key, times) of the stretches of all texts.
 
     `times` is how often the stretch has the gram that is its key. Strings that
@@ -76,8 +94,8 @@ def stretches(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, ...
     empty = np.zeros(0, np.int64)
     if len(data) < length:
         return empty, empty, empty, np.zeros(0, np.uint64), empty
-    grams = gram_hashes(data)[: len(data) - GRAM + 1]
-    width = length - GRAM + 1
+    grams = gram_hashes(data, gram)[: len(data) - gram + 1]
+    width = length - gram + 1
     keys = smallest(grams, width)
     begins = np.cumsum(sizes) - sizes
     place = np.arange(len(keys))
@@ -203,24 +221,32 @@ def spans(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
     return [(int(a), int(b) + length) for a, b in zip(first, last)]
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = LENGTH, grams: tuple[int, ...] = GRAMS) -> DataFrame:
     """(id, hash, spans): bytes of each text covered by repeated strings.
 
-    `docs` has `_id`, `_hash` (of the text) and `text`. Spans may overlap. Texts
-    without any are left out.
+    `docs` has `_id`, `_hash` (of the text) and `text`, a string or binary; a row
+    with `_times` stands for so many. Spans may overlap. Texts without any are
+    left out. `grams` are the lengths of the grams that keys come from.
     """
+    gram, *longer = [g for g in grams if g < length] or [length]
+    longer = longer or ([length] if gram < length else [])
+    counted = "_times" in docs.columns
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in slices(batches, "text"):
-            texts = [t.encode() if isinstance(t, str) else b"" for t in batch["text"]]
-            owner, start, count, key, times = stretches(texts, length)
+            texts = [_bytes(t) for t in batch["text"]]
+            owner, start, count, key, times = stretches(texts, length, gram)
+            if counted:
+                # Strings with other keys before can't be equal.
+                key = key ^ batch["_id"].to_numpy().view(np.uint64)[owner]
             yield pd.DataFrame(
                 {
                     "id": batch["_id"].to_numpy()[owner],
                     "hash": batch["_hash"].to_numpy()[owner],
+                    "times": batch["_times"].to_numpy()[owner] if counted else np.ones(len(owner), np.int64),
                     "start": start.astype(np.int32),
                     "size": (count + length - 1).astype(np.int32),
-                    "key": key.astype(np.int64),
+                    "key": key.view(np.int64),
                     "grams": times,
                     "digest": [
                         hashlib.blake2b(texts[o][s : s + n + length - 1], digest_size=16).digest()
@@ -229,25 +255,36 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 }
             )
 
+    of_text = ["_id", "_hash", "text", *(["_times"] if counted else [])]
     found = written(
-        docs.select("_id", "_hash", "text").mapInPandas(cut, "id long, hash long, start int, size int, key long, grams long, digest binary"),
+        docs.select(*of_text).mapInPandas(
+            cut, "id long, hash long, times long, start int, size int, key long, grams long, digest binary"
+        ),
         "stretches",
     )
-    again = found.groupBy("key").agg(F.sum("grams").alias("n")).where("n > 1").select(_spread("key").alias("of"))
-    distinct = found.groupBy("key", "digest").agg(
-        F.count("*").alias("times"), F.min(F.struct("id", "hash", "start", "size")).alias("at")
+    again = written(
+        found.groupBy(F.col("key").alias("of"))
+        .agg(F.sum(F.col("grams") * F.col("times")).alias("n"), F.sum("size").alias("bytes"))
+        .where("n > 1")
+        .select("of", "bytes"),
+        "again",
     )
-    asked = (
-        distinct.join(again, _spread("key") == F.col("of"), "left_semi")
-        .groupBy(F.col("at.id").alias("asked_id"), F.col("at.hash").alias("asked_hash"))
-        .agg(F.collect_list(F.struct("key", "digest", "times", "at.start", "at.size")).alias("parts"))
+    distinct = found.groupBy("key", "digest").agg(
+        F.sum("times").alias("times"), F.min(F.struct("id", "hash", "start", "size")).alias("at")
     )
 
+    def asked(keys: DataFrame) -> DataFrame:
+        return (
+            distinct.join(keys, F.col("key") == F.col("of"), "left_semi")
+            .groupBy(F.col("at.id").alias("asked_id"), F.col("at.hash").alias("asked_hash"))
+            .agg(F.collect_list(F.struct("key", "digest", "times", "at.start", "at.size")).alias("parts"))
+        )
+
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in slices(batches, "text"):
             rows = []
             for text, parts in zip(batch["text"], batch["parts"]):
-                data = text.encode()
+                data = _bytes(text)
                 for p in parts:
                     rows.append((p["key"], p["digest"], p["times"], data[p["start"] : p["start"] + p["size"]]))
             yield pd.DataFrame(rows, columns=["key", "digest", "times", "part"])
@@ -267,21 +304,50 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         if held:
             yield _matched(held, length)
 
+    same = (F.col("_id") == F.col("asked_id")) & (F.col("_hash") == F.col("asked_hash"))
+    sent = "key long, digest binary, times long, part binary"
+    deeper = None
+    if longer:
+        # Few keys have so many bytes that their distinct stretches need a look.
+        crowded = written(
+            found.join(again.where(F.col("bytes") > KEY_BYTES), F.col("key") == F.col("of"), "left_semi")
+            .groupBy("key", "digest")
+            .agg(F.max("size").alias("size"))
+            .groupBy(F.col("key").alias("of"))
+            .agg(F.sum("size").alias("bytes"))
+            .where(F.col("bytes") > KEY_BYTES),
+            "crowded",
+        )
+        if not crowded.isEmpty():
+            again = again.join(crowded, "of", "left_anti")
+            picked = written(asked(crowded), "picked")
+            few = (picked.agg(F.sum(F.size("parts"))).first()[0] or 0) <= BROADCAST_PARTS
+            parts = written(
+                docs.select(*of_text).join(F.broadcast(picked) if few else picked, same).mapInPandas(send, sent), "parts"
+            )
+            texts = parts.select(
+                F.col("key").alias("_id"), F.xxhash64("digest").alias("_hash"), F.col("part").alias("text"),
+                F.col("times").alias("_times"),
+            )
+            deeper = repeated_spans(texts, length, (*longer, length))
+
     # All columns stay in, so that this shuffle of texts is the same as the one
     # for the join of the result and is made once.
-    same = (F.col("_id") == F.col("asked_id")) & (F.col("_hash") == F.col("asked_hash"))
-    sent = docs.join(asked, same).mapInPandas(send, "key long, digest binary, times long, part binary")
     covered = (
-        sent.repartition(F.col("key"))
+        docs.join(asked(again), same)
+        .mapInPandas(send, sent)
+        .repartition(F.col("key"))
         .sortWithinPartitions("key", "digest")
         .mapInPandas(match, "key long, digest binary, spans array<struct<first:int,last:int>>")
     )
     # A stretch that very many documents have is split by adaptive execution:
     # both sides are shuffled for this join.
-    told = covered.select(F.hex("digest").alias("of"), F.col("key").alias("of_key"), "spans")
-    places = found.select("id", "hash", "start", "key", F.hex("digest").alias("hex"))
+    told = covered.select(F.col("key").alias("of_key"), F.xxhash64("digest").alias("of"), "spans")
+    if deeper is not None:
+        told = told.unionByName(deeper.select(F.col("id").alias("of_key"), F.col("hash").alias("of"), "spans"))
+    places = found.select("id", "hash", "start", "key", F.xxhash64("digest").alias("part"))
     return (
-        places.join(told, (F.col("hex") == F.col("of")) & (F.col("key") == F.col("of_key")))
+        places.join(told, (F.col("part") == F.col("of")) & (F.col("key") == F.col("of_key")))
         .select("id", "hash", "start", F.inline("spans"))
         .groupBy("id", "hash")
         .agg(
@@ -292,6 +358,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     )
 
 
+def _bytes(text: str | bytes | None) -> bytes:
+    return text.encode() if isinstance(text, str) else text if isinstance(text, bytes) else b""
+
+
 def _matched(held: list[tuple], length: int) -> pd.DataFrame:
     starts = repeated_starts([r[3] for r in held], np.array([r[2] for r in held]), length)
     rows = [

@@ -553,6 +553,34 @@ def test_interval_expansion_against_brute_force():
     assert alone[0].tolist() == [0, 1, 2]
 
 
+@pytest.mark.parametrize("key_bytes, few", [(substrings.KEY_BYTES, 9), (2000, 100_000), (0, 0)])
+def test_crowded_keys_are_dealt_anew(spark, monkeypatch, key_bytes, few):
+    monkeypatch.setattr(substrings, "KEY_BYTES", key_bytes)
+    monkeypatch.setattr(substrings, "BROADCAST_PARTS", few)
+    shared = words(300, seed=1)
+    # Passages around the lengths of grams, each with other text around it, and copies.
+    rows = [
+        (100 * n + i, f"{words(120, seed=1000 * n + i, of=5000)} {shared[:n]} {words(120, seed=1000 * n + 50 + i, of=5000)}")
+        for n in (40, 130, 300, 390, 398, 410, 800)
+        for i in range(5)
+    ]
+    rows += [(7, rows[3][1]), (8, rows[12][1] + " end"), (9, "z" * 1500), (10, "y" * 401), (11, None), (12, "")]
+    every = [(text or "").encode() for _, text in rows]
+    want = {
+        i: bytes(b for b, h in zip(text, hit) if not h) for (i, _), text, hit in zip(rows, every, covered(every, 400))
+    }
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: bytes(r.kept) for r in substrings.without_repeats(docs).collect()} == want
+
+
+def test_hashes_of_grams_of_any_length():
+    data = np.frombuffer(b"abcabcabd" * 60, np.uint8)
+    for gram in (1, 2, 3, 32, 33, 200, 384, 400):
+        hashes = substrings.gram_hashes(data, gram)[: len(data) - gram + 1].tolist()
+        strings = [data[i : i + gram].tobytes() for i in range(len(hashes))]
+        assert len(set(hashes)) == len(set(strings)) == len(set(zip(hashes, strings)))
+
+
 def test_repeats_are_cut_from_documents(spark, odd, empty):
     passage = words(90, seed=1)
     rows = [(i, f"{words(50, seed=10 + i)} {passage if i % 2 else ''} {words(30, seed=50 + i)}") for i in range(12)]
