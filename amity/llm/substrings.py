@@ -262,9 +262,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, grams: tuple[int, ...]
         ),
         "stretches",
     )
+    # Equal stretches count once in the bytes of their key.
     again = written(
-        found.groupBy(F.col("key").alias("of"))
-        .agg(F.sum(F.col("grams") * F.col("times")).alias("n"), F.sum("size").alias("bytes"))
+        found.groupBy(F.col("key").alias("of"), F.xxhash64("digest").alias("part"))
+        .agg(F.sum(F.col("grams") * F.col("times")).alias("n"), F.max("size").alias("size"))
+        .groupBy("of")
+        .agg(F.sum("n").alias("n"), F.sum("size").alias("bytes"))
         .where("n > 1")
         .select("of", "bytes"),
         "again",
@@ -308,18 +311,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, grams: tuple[int, ...]
     sent = "key long, digest binary, times long, part binary"
     deeper = None
     if longer:
-        # Few keys have so many bytes that their distinct stretches need a look.
-        crowded = written(
-            found.join(again.where(F.col("bytes") > KEY_BYTES), F.col("key") == F.col("of"), "left_semi")
-            .groupBy("key", "digest")
-            .agg(F.max("size").alias("size"))
-            .groupBy(F.col("key").alias("of"))
-            .agg(F.sum("size").alias("bytes"))
-            .where(F.col("bytes") > KEY_BYTES),
-            "crowded",
-        )
+        crowded = again.where(F.col("bytes") > KEY_BYTES)
         if not crowded.isEmpty():
-            again = again.join(crowded, "of", "left_anti")
+            again = again.where(F.col("bytes") <= KEY_BYTES)
             picked = written(asked(crowded), "picked")
             few = (picked.agg(F.sum(F.size("parts"))).first()[0] or 0) <= BROADCAST_PARTS
             parts = written(
