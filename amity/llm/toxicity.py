@@ -1,20 +1,24 @@
 """Toxicity by the votes of the most similar labelled examples.
 
-Texts are vectors of TF-IDF weights over the terms that tell the labels apart:
-words and beginnings of words, chosen by a chi-squared test on the examples.
-Examples stand in an inverted index whose posting lists are cut into blocks
-that know their largest weight. A query visits blocks in the order of the
-highest cosine they can reach and stops when no block can enter the nearest
-examples, so the nearest are exact. Their votes, weighted by similarity and by
-how often each label occurs, give the score; the examples are the evidence.
+Texts are vectors of TF-IDF weights over all words of the examples, and over
+beginnings of words that a chi-squared test finds to tell the labels apart.
+Terms that don't pass the test weigh a small share, so that they decide
+where no telling term does. Examples stand in an inverted index whose posting
+lists are cut into blocks that know their largest weight. A query visits
+blocks in the order of the highest cosine they can reach and stops when no
+block can enter the nearest examples, so the nearest are exact. Their votes,
+weighted by similarity and by how often each label occurs, are calibrated by a
+logistic curve fitted on the examples, each scored without its own vote; the
+nearest examples are the evidence.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from statistics import NormalDist
 
 import numpy as np
@@ -22,17 +26,26 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import give_back, slices, written
+
 # The model is fitted on about this many examples of each label.
 EXAMPLES_PER_LABEL = 5000
 
 CERTAINTY = 0.01
 PREFIXES = (3, 4, 5, 6)
+# What a term weighs that doesn't tell the labels apart.
+PLAIN_SHARE = 0.05
 NEIGHBOURS = 25
 BLOCK = 64
+# Blocks looked at first; twice as many each time after.
+FIRST_BLOCKS = 4
 SHARPNESS = 4.0
 PRIOR_WEIGHT = 1.0
 EVIDENCE = 3
 MEMO = 500_000
+TEXT_MEMO = 20_000
+# How firmly the calibration holds to the votes as they are.
+CALIBRATION_PRIOR = 1.0
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -41,65 +54,91 @@ _WORD = re.compile(r"[^\W\d_]+")
 class Index:
     """Distinct example vectors, their votes, and posting lists in blocks.
 
-    `postings[t]` are (block, largest weight, entries, weights) by block.
+    The blocks of term t are `starts[t]` to `starts[t + 1]`: their numbers are in
+    `blocks`, their largest weights in `most`, and the entries of block i are
+    `at[i]` to `at[i + 1]` of `entries` and `weights`.
     """
 
     terms: dict[str, int]
-    idf: np.ndarray
+    term_weights: np.ndarray
     votes: np.ndarray
     examples: list[int]
     labels: list[int]
-    postings: list[list[tuple[int, float, np.ndarray, np.ndarray]]]
+    starts: np.ndarray
+    blocks: np.ndarray
+    most: np.ndarray
+    at: np.ndarray
+    entries: np.ndarray
+    weights: np.ndarray
     prior: float
     plain: float
-
-    def __post_init__(self) -> None:
-        self._seen: dict[tuple, tuple[float, list]] = {}
-
-    def score(self, counts: Counter) -> tuple[float, list]:
-        """Score and evidence of a text with these counts of known terms."""
-        if not counts:
-            return self.plain, []
-        key = tuple(sorted(counts.items()))
+    slope: float = 1.0
+    offset: float = 0.0
+    keys: list[bytes] = field(default_factory=list, repr=False)
+    _seen: dict[bytes, tuple[float, list]] = field(default_factory=dict, repr=False)
+
+    def score(self, text: str | None, memo: _Memo) -> tuple[float, list]:
+        """Calibrated score and evidence of a text."""
+        key = hashlib.blake2b((text or "").encode(errors="surrogatepass"), digest_size=16).digest()
         if key not in self._seen:
-            if len(self._seen) >= MEMO:
+            if len(self._seen) >= TEXT_MEMO:
                 self._seen.clear()
-            self._seen[key] = self._vote(self.nearest(counts))
+            terms, times = _counts(text, memo)
+            if len(terms):
+                entries, cosines = self.nearest(terms, times)
+                evidence = [
+                    (self.examples[e], float(c), self.labels[e])
+                    for e, c in zip(entries[:EVIDENCE], cosines[:EVIDENCE])
+                ]
+                raw = self.vote(entries, cosines)
+            else:
+                raw, evidence = self.plain, []
+            self._seen[key] = self.calibrated(raw), evidence
         return self._seen[key]
 
-    def nearest(self, counts: Counter) -> list[tuple[float, int]]:
-        """(cosine, entry) of the nearest entries, all that tie with the last included."""
-        query = _vector(counts, self.idf)
-        reach: dict[int, float] = {}
-        for term, weight in query.items():
-            for block, most, _, _ in self.postings[term]:
-                reach[block] = reach.get(block, 0.0) + weight * most
-        found: list[tuple[float, int]] = []
-        floor = 0.0
-        for block in sorted(reach, key=lambda b: (-reach[b], b)):
-            if len(found) >= NEIGHBOURS and reach[block] < floor - 1e-9:
-                break
-            sums = np.zeros(BLOCK)
-            for term, weight in query.items():
-                for at, _, entries, weights in self.postings[term]:
-                    if at == block:
-                        sums[entries - block * BLOCK] += weight * weights
+    def nearest(self, terms: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The nearest entries and their cosines, all that tie with the last included."""
+        query = _unit(terms, times, self.term_weights)
+        first, last = self.starts[terms], self.starts[terms + 1]
+        lists = _ranges(first, last)
+        share = np.repeat(query, last - first)
+        block = self.blocks[lists]
+        size = len(self.examples)
+        reach = np.bincount(block, share * self.most[lists], minlength=-(-size // BLOCK))
+        order = np.argsort(-reach, kind="stable")
+        order = order[: np.count_nonzero(reach)]
+        entries, cosines = np.zeros(0, np.int64), np.zeros(0)
+        done, step = 0, FIRST_BLOCKS
+        while done < len(order):
+            if len(cosines) >= NEIGHBOURS:
+                floor = cosines[NEIGHBOURS - 1]
+                if reach[order[done]] < floor - 1e-9:
+                    break
+                step = min(step, int(np.searchsorted(-reach[order[done:]], 1e-9 - floor, side="right")))
+            now = np.zeros(len(reach), bool)
+            now[order[done : done + step]] = True
+            done, step = done + step, step * 2
+            some = np.flatnonzero(now[block])
+            begin, end = self.at[lists[some]], self.at[lists[some] + 1]
+            rows = _ranges(begin, end)
+            sums = np.bincount(self.entries[rows], np.repeat(share[some], end - begin) * self.weights[rows], minlength=size)
             hits = np.flatnonzero(sums > 0)
-            found += [(float(sums[i]), int(block * BLOCK + i)) for i in hits]
-            found.sort(key=lambda x: (-x[0], x[1]))
-            if len(found) > NEIGHBOURS:
-                floor = found[NEIGHBOURS - 1][0]
-                found = [x for x in found if x[0] >= floor - 1e-9]
-        return found
+            entries, cosines = np.append(entries, hits), np.append(cosines, np.minimum(sums[hits], 1.0))
+            best = np.lexsort((entries, -cosines))
+            entries, cosines = entries[best], cosines[best]
+            if len(cosines) > NEIGHBOURS:
+                kept = cosines >= cosines[NEIGHBOURS - 1] - 1e-9
+                entries, cosines = entries[kept], cosines[kept]
+        return entries, cosines
 
-    def _vote(self, found: list[tuple[float, int]]) -> tuple[float, list]:
-        against, toxic = PRIOR_WEIGHT * (1 - self.prior), PRIOR_WEIGHT * self.prior
-        for cosine, entry in found:
-            weight = min(1.0, cosine) ** SHARPNESS
-            against += weight * self.votes[entry, 0]
-            toxic += weight * self.votes[entry, 1]
-        evidence = [(self.examples[e], min(1.0, c), self.labels[e]) for c, e in found[:EVIDENCE]]
-        return float(toxic / (toxic + against)), evidence
+    def vote(self, entries: np.ndarray, cosines: np.ndarray, own: int = -1, own_votes=(0.0, 0.0)) -> float:
+        """The share of toxic votes, less `own_votes` of the entry `own`."""
+        votes = self.votes[entries] - np.where((entries == own)[:, None], own_votes, 0.0)
+        against, toxic = np.maximum(votes, 0).T @ cosines**SHARPNESS
+        return float((toxic + PRIOR_WEIGHT * self.prior) / (toxic + against + PRIOR_WEIGHT))
+
+    def calibrated(self, share: float) -> float:
+        return float(1 / (1 + np.exp(-(self.slope * _logit(share) + self.offset))))
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_label: int = EXAMPLES_PER_LABEL) -> Index:
@@ -109,6 +148,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = EXAMPLES_PER_LABEL)
     equal texts count once. Their votes are weighted so that labels weigh as in
     all of `labels`. Null labels and texts are left out; of several labels of
     a document the highest counts. Without examples every score is one half.
+    All words of the examples are indexed, so the index is as large as their texts.
     """
     known = (
         labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
@@ -145,86 +185,168 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = EXAMPLES_PER_LABEL)
     drawn_sizes = {r["toxic"]: r["count"] for r in examples.groupBy("toxic").count().collect()}
     total0, total1 = drawn_sizes.get(0, 0), drawn_sizes.get(1, 0)
     total = total0 + total1
-    chosen = []
+    telling = F.lit(False)
+    counts = written(counts, "terms")
     if total0 and total1:
         chance = CERTAINTY / max(1, counts.count())
         limit = NormalDist().inv_cdf(1 - chance / 2) ** 2
         a, b = F.col("n1").cast("double"), F.col("n0").cast("double")
         c, d = total1 - a, total0 - b
         chi = total * (a * d - b * c) ** 2 / (F.greatest(F.lit(1.0), (a + b) * (c + d)) * float(total0 * total1))
-        # However many pass, all are kept; the drawn examples bound their number.
-        chosen = (
-            counts.withColumn("chi", chi).where(F.col("chi") > limit)
-            .orderBy(F.desc("chi"), "term").collect()
-        )
-    terms = {r["term"]: i for i, r in enumerate(chosen)}
-    idf = np.array([np.log((1 + total) / (1 + r["n0"] + r["n1"])) + 1 for r in chosen])
+        telling = chi > limit
+    # The words of the drawn examples, and the beginnings that tell labels apart.
+    chosen = (
+        counts.select("term", (F.col("n0") + F.col("n1")).alias("n"), telling.alias("telling"))
+        .where(F.col("telling") | F.col("term").startswith("="))
+        .toPandas()
+        .sort_values("term")
+    )
+    terms = dict(zip(chosen["term"], range(len(chosen))))
+    idf = np.log((1 + total) / (1 + chosen["n"].to_numpy(float))) + 1
+    term_weights = np.where(chosen["telling"].to_numpy(bool), 1.0, PLAIN_SHARE) * idf
 
     def reduced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo = _Memo(terms)
-        for batch in batches:
-            rows = [
-                (doc, toxic, *zip(*sorted(_counts(text, memo).items()))) if _counts(text, memo) else (doc, toxic, [], [])
-                for doc, toxic, text in zip(batch["doc_id"], batch["toxic"], batch["text"])
-            ]
-            yield pd.DataFrame(rows, columns=["doc_id", "toxic", "terms", "times"])
-
-    rows = examples.select("doc_id", "toxic", "text").mapInPandas(
-        reduced, "doc_id long, toxic int, terms array<int>, times array<int>"
-    ).collect()  # the drawn examples, a few numbers each
+        for batch in slices(batches, "text"):
+            found = [_counts(text, memo) for text in batch["text"]]
+            yield batch[["doc_id", "toxic"]].assign(
+                terms=[t.astype(np.int32).tobytes() for t, _ in found],
+                times=[n.astype(np.int32).tobytes() for _, n in found],
+            )
+
+    vectors = written(
+        examples.select("doc_id", "toxic", "text").mapInPandas(
+            reduced, "doc_id long, toxic int, terms binary, times binary"
+        ),
+        "examples",
+    )
     scale = [sizes.get(k, 0) / max(1, drawn_sizes.get(k, 0)) for k in (0, 1)]
-    return _indexed(rows, terms, idf, scale)
+    rows = vectors.toPandas()  # the drawn examples, 8 bytes for each of their words
+    index = _indexed(
+        [
+            (doc, toxic, np.frombuffer(t, np.int32), np.frombuffer(n, np.int32))
+            for doc, toxic, t, n in rows[["doc_id", "toxic", "terms", "times"]].itertuples(index=False)
+        ],
+        terms,
+        term_weights,
+        scale,
+    )
+    return _with_calibration(index, vectors, scale)
+
 
+def _with_calibration(index: Index, vectors: DataFrame, scale: list[float]) -> Index:
+    """The index with the curve that fits the votes of its examples best.
 
-def _indexed(rows: list, terms: dict[str, int], idf: np.ndarray, scale: list[float]) -> Index:
-    votes: dict[tuple, list[float]] = {}
-    first: dict[tuple, tuple[int, int]] = {}
+    Each example is scored as if it weren't in the index itself.
+    """
+    place = {hashlib.blake2b(key, digest_size=16).digest(): entry for entry, key in enumerate(index.keys)}
+    index.keys = []
+    unit = max(scale + [1.0])
+
+    def alone(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            shares = []
+            for toxic, t, n in zip(batch["toxic"], batch["terms"], batch["times"]):
+                own = place.get(hashlib.blake2b(t + n, digest_size=16).digest(), -1)
+                own_votes = [0.0, 0.0]
+                own_votes[toxic] = scale[toxic] / unit
+                if t:
+                    found = index.nearest(np.frombuffer(t, np.int32).astype(np.int64), np.frombuffer(n, np.int32))
+                    shares.append(index.vote(*found, own, own_votes))
+                else:
+                    shares.append(index.plain)
+            yield pd.DataFrame({"share": shares, "toxic": batch["toxic"]})
+
+    got = vectors.mapInPandas(alone, "share double, toxic int").toPandas()  # two numbers for each example
+    if len(got):
+        toxic = got["toxic"].to_numpy(float)
+        index.slope, index.offset = calibration(
+            got["share"].to_numpy(), toxic, np.where(toxic > 0, scale[1], scale[0])
+        )
+    return index
+
+
+def calibration(shares: np.ndarray, toxic: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
+    """Slope and offset of the logistic curve from votes to labels.
+
+    Newton steps on the weighted loss, held to slope 1 and offset 0 by a prior,
+    so that a few examples move the curve little.
+    """
+    x = np.column_stack([_logit(shares), np.ones(len(shares))])
+    weights = weights * len(weights) / max(weights.sum(), 1e-9)
+    start = np.array([1.0, 0.0])
+    at = start.copy()
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float(weights @ (np.logaddexp(0, z) - toxic * z) + CALIBRATION_PRIOR * ((w - start) ** 2).sum() / 2)
+
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x @ at))
+        slope = x.T @ (weights * (p - toxic)) + CALIBRATION_PRIOR * (at - start)
+        curve = (x * (weights * p * (1 - p))[:, None]).T @ x + CALIBRATION_PRIOR * np.eye(2)
+        move, held = np.linalg.solve(curve, slope), loss(at)
+        while loss(at - move) > held + 1e-12:
+            move = move / 2
+        at = at - move
+        if np.abs(move).max() < 1e-9:
+            break
+    # A falling curve would turn the order round.
+    return max(float(at[0]), 0.0), float(at[1])
+
+
+def _indexed(rows: list, terms: dict[str, int], term_weights: np.ndarray, scale: list[float]) -> Index:
+    """`rows` are (doc_id, toxic, terms in order, times)."""
+    votes: dict[bytes, list[float]] = {}
+    first: dict[bytes, tuple] = {}
     plain = [0.0, 0.0]
-    for doc, toxic, term, times in sorted(tuple(r) for r in rows):
-        if not term:
+    for doc, toxic, found, times in sorted(rows, key=lambda r: (r[0], r[1])):
+        if not len(found):
             plain[toxic] += scale[toxic]
             continue
-        key = tuple(zip(term, times))
+        key = np.asarray(found, np.int32).tobytes() + np.asarray(times, np.int32).tobytes()
         votes.setdefault(key, [0.0, 0.0])[toxic] += scale[toxic]
-        first.setdefault(key, (doc, toxic))
+        first.setdefault(key, (doc, toxic, np.asarray(found, np.int64), np.asarray(times, np.int64)))
     total = np.sum([*votes.values(), plain], axis=0)
     prior = float(total[1] / total.sum()) if total.sum() else 0.5
-    # Like vectors stand near each other, so that few blocks hold a term's best.
-    keys = sorted(votes)
-    lists: list[list[tuple[int, float]]] = [[] for _ in terms]
-    for entry, key in enumerate(keys):
-        for term, weight in _vector(Counter(dict(key)), idf).items():
-            lists[term].append((entry, weight))
-    postings = []
-    for pairs in lists:
-        entries = np.array([e for e, _ in pairs], np.int64)
-        weights = np.array([w for _, w in pairs])
-        block = entries // BLOCK
-        postings.append(
-            [
-                (int(b), float(weights[block == b].max()), entries[block == b], weights[block == b])
-                for b in np.unique(block)
-            ]
-        )
-    unit = np.array([votes[k] for k in keys]).reshape(-1, 2) / max(scale + [1.0])
+    units = {k: _unit(t, n, term_weights) for k, (_, _, t, n) in first.items()}
+    # Like vectors stand near each other, so that few blocks hold a term's best:
+    # by their heaviest terms.
+    heavy = {k: first[k][2][np.argsort(-units[k], kind="stable")[:3]].tolist() for k in first}
+    keys = sorted(first, key=lambda k: (heavy[k], k))
+    none = [np.zeros(0, np.int64)]
+    term = np.concatenate([first[k][2] for k in keys] or none)
+    entry = np.repeat(np.arange(len(keys)), [len(first[k][2]) for k in keys])
+    weight = np.concatenate([units[k] for k in keys] or none).astype(float)
+    order = np.lexsort((entry, term))
+    term, entry, weight = term[order], entry[order], weight[order]
+    block = entry // BLOCK
+    new = np.flatnonzero(np.diff(term, prepend=-1) | np.diff(block, prepend=-1)) if len(term) else none[0]
     return Index(
         terms,
-        idf,
-        unit,
+        term_weights,
+        np.array([votes[k] for k in keys]).reshape(-1, 2) / max(scale + [1.0]),
         [first[k][0] for k in keys],
         [first[k][1] for k in keys],
-        postings,
+        np.searchsorted(term[new], np.arange(len(terms) + 1)),
+        block[new].astype(np.int32),
+        np.maximum.reduceat(weight, new) if len(new) else np.zeros(0),
+        np.append(new, len(term)),
+        entry.astype(np.int32),
+        weight,
         prior,
         (plain[1] + prior) / (sum(plain) + 1),
+        keys=keys,
     )
 
 
 def score(docs: DataFrame, index: Index) -> DataFrame:
     """(doc_id, score, predicted, evidence) for each row of `docs`.
 
-    Null texts and texts without any known term get the share of toxic ones
-    among such examples. `evidence` are (doc_id, similarity, toxic) of the
-    nearest examples. Other columns are ignored; ids are copied as they are.
+    Null texts and texts without any word of the examples get the calibrated
+    share of toxic ones among such examples. `evidence` are (doc_id, similarity,
+    toxic) of the nearest examples. Other columns are ignored; ids are copied as
+    they are.
     """
 
     @F.pandas_udf(
@@ -234,7 +356,7 @@ def score(docs: DataFrame, index: Index) -> DataFrame:
     def scored(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         memo = _Memo(index.terms)
         for batch in texts:
-            found = [index.score(_counts(text, memo)) for text in batch]
+            found = [index.score(text, memo) for text in batch]
             scores = np.array([s for s, _ in found])
             yield pd.DataFrame(
                 {
@@ -245,6 +367,7 @@ def score(docs: DataFrame, index: Index) -> DataFrame:
                     ],
                 }
             )
+            give_back()
 
     return docs.select("doc_id", scored("text").alias("s")).select("doc_id", "s.*")
 
@@ -272,12 +395,29 @@ def _terms(word: str) -> list[str]:
     return [f"={word}", *(word[:n] for n in PREFIXES if len(word) >= n)]
 
 
-def _counts(text: str | None, memo: _Memo) -> Counter:
-    return Counter(t for found in map(memo.__getitem__, _words(text)) if found for t in found)
+def _counts(text: str | None, memo: _Memo) -> tuple[np.ndarray, np.ndarray]:
+    """Known terms of a text in order, and how often it has them."""
+    words = Counter(_words(text))
+    found = [(t, n) for word, n in words.items() for t in memo[word]]
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    terms, at = np.unique([t for t, _ in found], return_inverse=True)
+    return terms, np.bincount(at, [n for _, n in found]).astype(np.int64)
+
+
+def _unit(terms: np.ndarray, times: np.ndarray, term_weights: np.ndarray) -> np.ndarray:
+    """Unit vector of (1 + log count) * weight."""
+    raw = (1 + np.log(times)) * term_weights[terms]
+    return raw / np.sqrt((raw * raw).sum())
+
+
+def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """All numbers from each first up to, without it, its last."""
+    sizes = last - first
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + sizes, sizes)
 
 
-def _vector(counts: Counter, idf: np.ndarray) -> dict[int, float]:
-    """Unit vector of (1 + log count) * idf."""
-    raw = {t: (1 + np.log(n)) * idf[t] for t, n in counts.items()}
-    norm = np.sqrt(sum(w * w for w in raw.values()))
-    return {t: float(w / norm) for t, w in raw.items()}
+def _logit(share: float | np.ndarray) -> float | np.ndarray:
+    share = np.clip(share, 1e-6, 1 - 1e-6)
+    return np.log(share / (1 - share))

@@ -308,22 +308,98 @@ def test_toxicity_keeps_every_telling_word(spark):
     assert all(r.score > 0.5 and r.evidence for r in toxicity.score(single, index).collect())
 
 
-def test_block_max_search_is_exact():
-    rng = np.random.default_rng(2)
-    rows = [
-        (i, int(rng.integers(2)), sorted(rng.choice(30, 4, replace=False).tolist()), rng.integers(1, 4, 4).tolist())
-        for i in range(900)
+def vector_rows(n, terms, seed=2, each=4):
+    rng = np.random.default_rng(seed)
+    return [
+        (i, int(rng.integers(2)), np.sort(rng.choice(terms, each, replace=False)), rng.integers(1, 4, each))
+        for i in range(n)
     ]
-    index = toxicity._indexed(rows, {str(i): i for i in range(30)}, rng.random(30) + 1, [1.0, 1.0])
-    keys = sorted({tuple(zip(r[2], r[3])) for r in rows})
+
+
+@pytest.mark.parametrize("plain_share", [1.0, 0.05])
+def test_block_max_search_is_exact(plain_share):
+    rng = np.random.default_rng(2)
+    rows = vector_rows(900, 30)
+    weights = (rng.random(30) + 1) * np.where(np.arange(30) < 5, 1.0, plain_share)
+    index = toxicity._indexed(rows, {str(i): i for i in range(30)}, weights, [1.0, 1.0])
+    dense = np.zeros((len(index.keys), 30))
+    for entry, key in enumerate(index.keys):
+        terms, times = np.frombuffer(key, np.int32).reshape(2, -1)
+        dense[entry, terms] = toxicity._unit(terms, times, weights)
     for _ in range(30):
-        query = Counter(dict.fromkeys(rng.choice(30, 5, replace=False).tolist(), 2))
-        q = toxicity._vector(query, index.idf)
-        every = sorted(
-            (-sum(w * q.get(t, 0) for t, w in toxicity._vector(Counter(dict(k)), index.idf).items()) for k in keys)
-        )
-        got = index.nearest(query)
-        assert np.allclose([-c for c, _ in got], every[: len(got)]) and len(got) >= toxicity.NEIGHBOURS
+        terms = np.sort(rng.choice(30, 5, replace=False))
+        times = rng.integers(1, 3, 5)
+        query = np.zeros(30)
+        query[terms] = toxicity._unit(terms, times, weights)
+        every = dense @ query
+        entries, cosines = index.nearest(terms, times)
+        assert np.allclose(cosines, every[entries]) and np.all(np.diff(cosines) <= 0)
+        # As many as are asked for, and all that tie with the last.
+        last = np.sort(every)[-toxicity.NEIGHBOURS]
+        assert set(np.flatnonzero(every > last + 1e-6)) <= set(entries) and len(entries) >= toxicity.NEIGHBOURS
+        assert set(entries) <= set(np.flatnonzero(every > last - 1e-6))
+
+
+def test_an_example_has_no_vote_for_itself():
+    rows = vector_rows(50, 30)
+    index = toxicity._indexed(rows, {str(i): i for i in range(30)}, np.ones(30), [1.0, 1.0])
+    for doc, toxic, terms, times in rows:
+        others = toxicity._indexed([r for r in rows if r[0] != doc], index.terms, np.ones(30), [1.0, 1.0])
+        others.prior = index.prior
+        own = index.keys.index(terms.astype(np.int32).tobytes() + times.astype(np.int32).tobytes())
+        entries, cosines = index.nearest(terms, times)
+        if len(entries) > toxicity.NEIGHBOURS:  # ties; without itself one more may be found
+            continue
+        votes = [0.0, 0.0]
+        votes[toxic] = 1.0
+        held = index.vote(entries, cosines, own, votes)
+        left_entries, left = others.nearest(terms, times)
+        # The others find one neighbour more, the last.
+        assert len(left) >= len(cosines) - 1
+        assert held == pytest.approx(others.vote(left_entries[: len(cosines) - 1], left[: len(cosines) - 1]))
+
+
+def test_calibration_finds_the_curve():
+    rng = np.random.default_rng(5)
+    shares = rng.random(20_000)
+    truth = 1 / (1 + np.exp(-(2.0 * toxicity._logit(shares) - 1.0)))
+    slope, offset = toxicity.calibration(shares, (rng.random(20_000) < truth).astype(float), np.ones(20_000))
+    assert abs(slope - 2) < 0.1 and abs(offset + 1) < 0.1
+    # A few examples leave the votes nearly as they are, and no order is turned round.
+    assert toxicity.calibration(np.array([0.4]), np.array([0.0]), np.ones(1))[0] == pytest.approx(1, abs=0.2)
+    assert toxicity.calibration(shares, (rng.random(20_000) > truth).astype(float), np.ones(20_000))[0] == 0
+
+
+def test_toxicity_scores_are_calibrated_and_texts_are_searched(spark):
+    rng = random.Random(11)
+    marks = ["grobian", "rascal", "villain"]
+    rows, labels = [], []
+    for i in range(3000):
+        marked = i % 4 == 0
+        # Three of four texts with a mark are toxic, one in twenty of the others.
+        toxic = int(rng.random() < (0.75 if marked else 0.05))
+        text = words(30, seed=i, of=400).split() + ([rng.choice(marks)] if marked else [])
+        rows.append((i, " ".join(text)))
+        labels.append((i, toxic))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = toxicity.score(docs, toxicity.fit(docs.where("doc_id < 2000"), known)).where("doc_id >= 2000").collect()
+    by_mark = {m: [r.score for r in got if (r.doc_id % 4 == 0) == m] for m in (True, False)}
+    assert abs(np.mean(by_mark[True]) - 0.75) < 0.1 and abs(np.mean(by_mark[False]) - 0.05) < 0.03
+    # Texts without a telling term are searched too: no constant stands for them.
+    assert max(Counter(r.score for r in got).values()) < 0.05 * len(got) and all(r.evidence for r in got)
+
+
+def test_toxicity_on_odd_rows(odd, spark):
+    labels = spark.createDataFrame(
+        [(1, 1), (2, 0), (4, 0), (5, 0), (5, 1), (7, 1), (None, 1), (8, None), (99, 1)], "doc_id long, toxic int"
+    )
+    got = toxicity.score(odd, toxicity.fit(odd, labels)).collect()
+    assert len(got) == 10 and all(0 <= r.score <= 1 for r in got)
+    by_id = {r.doc_id: r for r in got}
+    # Null, empty and blank texts have no words and get the same score.
+    assert by_id[1].score == by_id[2].score == by_id[3].score and by_id[1].evidence == []
+    assert by_id[4].score == by_id[5].score and by_id[7].evidence[0].doc_id == 7
 
 
 def test_toxicity_without_examples(odd, empty, spark):
