@@ -15,15 +15,19 @@ nearest examples are the evidence.
 from __future__ import annotations
 
 import hashlib
+import pickle
 import re
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import xxhash
+import zstandard
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import give_back, slices, written
@@ -54,28 +58,51 @@ _WORD = re.compile(r"[^\W\d_]+")
 class Index:
     """Distinct example vectors, their votes, and posting lists in blocks.
 
-    The blocks of term t are `starts[t]` to `starts[t + 1]`: their numbers are in
-    `blocks`, their largest weights in `most`, and the entries of block i are
-    `at[i]` to `at[i + 1]` of `entries` and `weights`.
+    `terms` are sorted hashes. The blocks of term t are `starts[t]` to
+    `starts[t + 1]`: `blocks` has their numbers, `sizes` how many entries they
+    hold; `offsets` and `times` have each entry's place in its block and its
+    count of the term, block after block. `norms` are lengths of the vectors.
     """
 
-    terms: dict[str, int]
+    terms: np.ndarray
     term_weights: np.ndarray
     votes: np.ndarray
-    examples: list[int]
-    labels: list[int]
+    examples: np.ndarray
+    labels: np.ndarray
     starts: np.ndarray
     blocks: np.ndarray
-    most: np.ndarray
-    at: np.ndarray
-    entries: np.ndarray
-    weights: np.ndarray
+    sizes: np.ndarray
+    offsets: np.ndarray
+    times: np.ndarray
+    norms: np.ndarray
     prior: float
     plain: float
     slope: float = 1.0
     offset: float = 0.0
-    keys: list[bytes] = field(default_factory=list, repr=False)
-    _seen: dict[bytes, tuple[float, list]] = field(default_factory=dict, repr=False)
+
+    def __post_init__(self) -> None:
+        """What follows from the fields: the list ends, weights, and largest weight of each block."""
+        self._seen: dict[bytes, tuple[float, list]] = {}
+        self._shared: Broadcast | None = None
+        self._ends = np.cumsum(self.sizes, dtype=np.int64)
+        entry = np.repeat(self.blocks.astype(np.int32) * BLOCK, self.sizes) + self.offsets
+        per_term = np.diff(np.append(0, self._ends)[self.starts])
+        self._weights = (1 + np.log(self.times)) / self.norms[entry] * np.repeat(self.term_weights, per_term)
+        self._most = np.maximum.reduceat(self._weights, self._ends - self.sizes) if len(self.sizes) else np.zeros(0)
+
+    def __getstate__(self) -> bytes:
+        fields = {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
+        return zstandard.compress(pickle.dumps(fields, protocol=5))
+
+    def __setstate__(self, state: bytes) -> None:
+        self.__dict__.update(pickle.loads(zstandard.decompress(state)))
+        self.__post_init__()
+
+    def shared(self, spark: SparkSession) -> Broadcast:
+        """The index on all executors, sent once; its size is that of the drawn examples."""
+        if self._shared is None:
+            self._shared = spark.sparkContext.broadcast(self)
+        return self._shared
 
     def score(self, text: str | None, memo: _Memo) -> tuple[float, list]:
         """Calibrated score and evidence of a text."""
@@ -83,11 +110,11 @@ class Index:
         if key not in self._seen:
             if len(self._seen) >= TEXT_MEMO:
                 self._seen.clear()
-            terms, times = _counts(text, memo)
+            terms, times = memo.counts(text)
             if len(terms):
                 entries, cosines = self.nearest(terms, times)
                 evidence = [
-                    (self.examples[e], float(c), self.labels[e])
+                    (int(self.examples[e]), float(c), int(self.labels[e]))
                     for e, c in zip(entries[:EVIDENCE], cosines[:EVIDENCE])
                 ]
                 raw = self.vote(entries, cosines)
@@ -104,7 +131,7 @@ class Index:
         share = np.repeat(query, last - first)
         block = self.blocks[lists]
         size = len(self.examples)
-        reach = np.bincount(block, share * self.most[lists], minlength=-(-size // BLOCK))
+        reach = np.bincount(block, share * self._most[lists], minlength=-(-size // BLOCK))
         order = np.argsort(-reach, kind="stable")
         order = order[: np.count_nonzero(reach)]
         entries, cosines = np.zeros(0, np.int64), np.zeros(0)
@@ -119,9 +146,10 @@ class Index:
             now[order[done : done + step]] = True
             done, step = done + step, step * 2
             some = np.flatnonzero(now[block])
-            begin, end = self.at[lists[some]], self.at[lists[some] + 1]
-            rows = _ranges(begin, end)
-            sums = np.bincount(self.entries[rows], np.repeat(share[some], end - begin) * self.weights[rows], minlength=size)
+            held, end = self.sizes[lists[some]], self._ends[lists[some]]
+            rows = _ranges(end - held, end)
+            entry = np.repeat(block[some].astype(np.int64) * BLOCK, held) + self.offsets[rows]
+            sums = np.bincount(entry, np.repeat(share[some], held) * self._weights[rows], minlength=size)
             hits = np.flatnonzero(sums > 0)
             entries, cosines = np.append(entries, hits), np.append(cosines, np.minimum(sums[hits], 1.0))
             best = np.lexsort((entries, -cosines))
@@ -131,10 +159,9 @@ class Index:
                 entries, cosines = entries[kept], cosines[kept]
         return entries, cosines
 
-    def vote(self, entries: np.ndarray, cosines: np.ndarray, own: int = -1, own_votes=(0.0, 0.0)) -> float:
-        """The share of toxic votes, less `own_votes` of the entry `own`."""
-        votes = self.votes[entries] - np.where((entries == own)[:, None], own_votes, 0.0)
-        against, toxic = np.maximum(votes, 0).T @ cosines**SHARPNESS
+    def vote(self, entries: np.ndarray, cosines: np.ndarray, own=(0.0, 0.0)) -> float:
+        """The share of toxic votes, less the votes `own` of an entry equal to the query."""
+        against, toxic = np.maximum(self.votes[entries].T @ cosines**SHARPNESS - own, 0)
         return float((toxic + PRIOR_WEIGHT * self.prior) / (toxic + against + PRIOR_WEIGHT))
 
     def calibrated(self, share: float) -> float:
@@ -169,17 +196,25 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = EXAMPLES_PER_LABEL)
     )
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[str, list[int]] = {}
-        for batch in batches:
+        for batch in slices(batches, "text"):
+            held: dict[str, list[int]] = {}
             for text, toxic in zip(batch["text"], batch["toxic"]):
                 for term in {t for w in set(_words(text)) for t in _terms(w)}:
                     held.setdefault(term, [0, 0])[toxic] += 1
-        yield pd.DataFrame([(t, *n) for t, n in held.items()], columns=["term", "n0", "n1"])
+            times = np.array(list(held.values()), np.int64).reshape(-1, 2)
+            yield pd.DataFrame(
+                {
+                    "term": term_hashes(held).view(np.int64),
+                    "word": np.array([t[0] == "=" for t in held], bool),
+                    "n0": times[:, 0],
+                    "n1": times[:, 1],
+                }
+            )
 
     counts = (
         examples.select("text", "toxic")
-        .mapInPandas(counted, "term string, n0 long, n1 long")
-        .groupBy("term")
+        .mapInPandas(counted, "term long, word boolean, n0 long, n1 long")
+        .groupBy("term", "word")
         .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     )
     drawn_sizes = {r["toxic"]: r["count"] for r in examples.groupBy("toxic").count().collect()}
@@ -196,19 +231,22 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = EXAMPLES_PER_LABEL)
         telling = chi > limit
     # The words of the drawn examples, and the beginnings that tell labels apart.
     chosen = (
-        counts.select("term", (F.col("n0") + F.col("n1")).alias("n"), telling.alias("telling"))
-        .where(F.col("telling") | F.col("term").startswith("="))
+        counts.select("term", (F.col("n0") + F.col("n1")).alias("n"), telling.alias("telling"), "word")
+        .where(F.col("telling") | F.col("word"))
+        .select("term", "n", "telling")
         .toPandas()
-        .sort_values("term")
     )
-    terms = dict(zip(chosen["term"], range(len(chosen))))
-    idf = np.log((1 + total) / (1 + chosen["n"].to_numpy(float))) + 1
-    term_weights = np.where(chosen["telling"].to_numpy(bool), 1.0, PLAIN_SHARE) * idf
+    hashes = chosen["term"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    terms = hashes[order]
+    idf = np.log((1 + total) / (1 + chosen["n"].to_numpy(float)[order])) + 1
+    term_weights = np.where(chosen["telling"].to_numpy(bool)[order], 1.0, PLAIN_SHARE) * idf
+    del chosen, hashes, order
 
     def reduced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo = _Memo(terms)
         for batch in slices(batches, "text"):
-            found = [_counts(text, memo) for text in batch["text"]]
+            found = [memo.counts(text) for text in batch["text"]]
             yield batch[["doc_id", "toxic"]].assign(
                 terms=[t.astype(np.int32).tobytes() for t, _ in found],
                 times=[n.astype(np.int32).tobytes() for _, n in found],
@@ -239,20 +277,18 @@ def _with_calibration(index: Index, vectors: DataFrame, scale: list[float]) -> I
 
     Each example is scored as if it weren't in the index itself.
     """
-    place = {hashlib.blake2b(key, digest_size=16).digest(): entry for entry, key in enumerate(index.keys)}
-    index.keys = []
+    shared = index.shared(vectors.sparkSession)
     unit = max(scale + [1.0])
 
     def alone(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        index = shared.value
         for batch in batches:
             shares = []
             for toxic, t, n in zip(batch["toxic"], batch["terms"], batch["times"]):
-                own = place.get(hashlib.blake2b(t + n, digest_size=16).digest(), -1)
-                own_votes = [0.0, 0.0]
-                own_votes[toxic] = scale[toxic] / unit
+                own = np.zeros(2)
+                own[toxic] = scale[toxic] / unit
                 if t:
-                    found = index.nearest(np.frombuffer(t, np.int32).astype(np.int64), np.frombuffer(n, np.int32))
-                    shares.append(index.vote(*found, own, own_votes))
+                    shares.append(index.vote(*index.nearest(np.frombuffer(t, np.int32), np.frombuffer(n, np.int32)), own))
                 else:
                     shares.append(index.plain)
             yield pd.DataFrame({"share": shares, "toxic": batch["toxic"]})
@@ -295,51 +331,58 @@ def calibration(shares: np.ndarray, toxic: np.ndarray, weights: np.ndarray) -> t
     return max(float(at[0]), 0.0), float(at[1])
 
 
-def _indexed(rows: list, terms: dict[str, int], term_weights: np.ndarray, scale: list[float]) -> Index:
-    """`rows` are (doc_id, toxic, terms in order, times)."""
-    votes: dict[bytes, list[float]] = {}
-    first: dict[bytes, tuple] = {}
+def _indexed(rows: list, terms: np.ndarray, term_weights: np.ndarray, scale: list[float]) -> Index:
+    """`rows` are (doc_id, toxic, numbers of terms in order, times)."""
+    vectors: dict[tuple[bytes, bytes], list] = {}
     plain = [0.0, 0.0]
     for doc, toxic, found, times in sorted(rows, key=lambda r: (r[0], r[1])):
         if not len(found):
             plain[toxic] += scale[toxic]
             continue
-        key = np.asarray(found, np.int32).tobytes() + np.asarray(times, np.int32).tobytes()
-        votes.setdefault(key, [0.0, 0.0])[toxic] += scale[toxic]
-        first.setdefault(key, (doc, toxic, np.asarray(found, np.int64), np.asarray(times, np.int64)))
-    total = np.sum([*votes.values(), plain], axis=0)
+        found, times = np.asarray(found, np.int32), np.asarray(times, np.int32)
+        held = vectors.setdefault(_key(found, times), [doc, toxic, found, times, [0.0, 0.0]])
+        held[4][toxic] += scale[toxic]
+    total = np.sum([*(v[4] for v in vectors.values()), plain], axis=0)
     prior = float(total[1] / total.sum()) if total.sum() else 0.5
-    units = {k: _unit(t, n, term_weights) for k, (_, _, t, n) in first.items()}
+
+    def heaviest(vector: list) -> list[int]:
+        weight = (1 + np.log(vector[3])) * term_weights[vector[2]]
+        return vector[2][np.argsort(-weight, kind="stable")[:3]].tolist()
+
     # Like vectors stand near each other, so that few blocks hold a term's best:
     # by their heaviest terms.
-    heavy = {k: first[k][2][np.argsort(-units[k], kind="stable")[:3]].tolist() for k in first}
-    keys = sorted(first, key=lambda k: (heavy[k], k))
-    none = [np.zeros(0, np.int64)]
-    term = np.concatenate([first[k][2] for k in keys] or none)
-    entry = np.repeat(np.arange(len(keys)), [len(first[k][2]) for k in keys])
-    weight = np.concatenate([units[k] for k in keys] or none).astype(float)
-    order = np.lexsort((entry, term))
-    term, entry, weight = term[order], entry[order], weight[order]
+    entries = sorted(vectors.values(), key=lambda v: (heaviest(v), v[0], v[1]))
+    none = [np.zeros(0, np.int32)]
+    term = np.concatenate([v[2] for v in entries] or none)
+    times = np.concatenate([v[3] for v in entries] or none)
+    entry = np.repeat(np.arange(len(entries), dtype=np.int32), [len(v[2]) for v in entries])
+    norms = np.array([np.sqrt((((1 + np.log(v[3])) * term_weights[v[2]]) ** 2).sum()) for v in entries])
+    order = np.argsort(term, kind="stable")
+    term, times, entry = term[order], times[order], entry[order]
+    del order
     block = entry // BLOCK
-    new = np.flatnonzero(np.diff(term, prepend=-1) | np.diff(block, prepend=-1)) if len(term) else none[0]
+    new = np.flatnonzero((np.diff(term, prepend=-1) != 0) | (np.diff(block, prepend=-1) != 0))
     return Index(
         terms,
         term_weights,
-        np.array([votes[k] for k in keys]).reshape(-1, 2) / max(scale + [1.0]),
-        [first[k][0] for k in keys],
-        [first[k][1] for k in keys],
+        np.array([v[4] for v in entries]).reshape(-1, 2) / max(scale + [1.0]),
+        np.array([v[0] for v in entries], np.int64),
+        np.array([v[1] for v in entries], np.int8),
         np.searchsorted(term[new], np.arange(len(terms) + 1)),
-        block[new].astype(np.int32),
-        np.maximum.reduceat(weight, new) if len(new) else np.zeros(0),
-        np.append(new, len(term)),
-        entry.astype(np.int32),
-        weight,
+        block[new],
+        np.diff(np.append(new, len(term))).astype(np.uint8),
+        (entry % BLOCK).astype(np.uint8),
+        times,
+        norms,
         prior,
         (plain[1] + prior) / (sum(plain) + 1),
-        keys=keys,
     )
 
 
+def _key(terms: np.ndarray, times: np.ndarray) -> bytes:
+    return hashlib.blake2b(terms.tobytes() + times.tobytes(), digest_size=16).digest()
+
+
 def score(docs: DataFrame, index: Index) -> DataFrame:
     """(doc_id, score, predicted, evidence) for each row of `docs`.
 
@@ -349,11 +392,15 @@ def score(docs: DataFrame, index: Index) -> DataFrame:
     they are.
     """
 
+    shared, curve = index.shared(docs.sparkSession), (index.slope, index.offset)
+
     @F.pandas_udf(
         "score double, predicted int, "
         "evidence array<struct<doc_id:long,similarity:double,toxic:int>>"
     )
     def scored(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        index = shared.value
+        index.slope, index.offset = curve
         memo = _Memo(index.terms)
         for batch in texts:
             found = [index.score(text, memo) for text in batch]
@@ -373,18 +420,33 @@ def score(docs: DataFrame, index: Index) -> DataFrame:
 
 
 class _Memo(dict):
-    """The known terms of words met before."""
+    """The numbers of known terms of words met before."""
 
-    def __init__(self, terms: dict[str, int]) -> None:
+    def __init__(self, terms: np.ndarray) -> None:
         super().__init__()
         self.terms = terms
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Known terms of a text in order, and how often it has them."""
+        words = Counter(_words(text))
         if len(self) >= MEMO:
             self.clear()
-        found = tuple(self.terms[t] for t in _terms(word) if t in self.terms)
-        self[word] = found
-        return found
+        self._learn([w for w in words if w not in self])
+        found = [(t, n) for word, n in words.items() for t in self[word]]
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        terms, at = np.unique([t for t, _ in found], return_inverse=True)
+        return terms, np.bincount(at, [n for _, n in found]).astype(np.int64)
+
+    def _learn(self, words: list[str]) -> None:
+        forms = [_terms(w) for w in words]
+        hashes = term_hashes(t for f in forms for t in f)
+        at = np.searchsorted(self.terms, hashes)
+        known = at < len(self.terms)
+        known[known] = self.terms[at[known]] == hashes[known]
+        numbers = iter(np.where(known, at, -1).tolist())
+        for word, form in zip(words, forms):
+            self[word] = tuple(t for t in (next(numbers) for _ in form) if t >= 0)
 
 
 def _words(text: str | None) -> list[str]:
@@ -395,14 +457,9 @@ def _terms(word: str) -> list[str]:
     return [f"={word}", *(word[:n] for n in PREFIXES if len(word) >= n)]
 
 
-def _counts(text: str | None, memo: _Memo) -> tuple[np.ndarray, np.ndarray]:
-    """Known terms of a text in order, and how often it has them."""
-    words = Counter(_words(text))
-    found = [(t, n) for word, n in words.items() for t in memo[word]]
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    terms, at = np.unique([t for t, _ in found], return_inverse=True)
-    return terms, np.bincount(at, [n for _, n in found]).astype(np.int64)
+def term_hashes(terms: Iterable[str]) -> np.ndarray:
+    """64-bit hashes of terms."""
+    return np.array([xxhash.xxh64_intdigest(t) for t in terms], np.uint64)
 
 
 def _unit(terms: np.ndarray, times: np.ndarray, term_weights: np.ndarray) -> np.ndarray:
@@ -413,7 +470,7 @@ def _unit(terms: np.ndarray, times: np.ndarray, term_weights: np.ndarray) -> np.
 
 def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """All numbers from each first up to, without it, its last."""
-    sizes = last - first
+    sizes = (last - first).astype(np.int64)
     ends = np.cumsum(sizes)
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + sizes, sizes)
 
