@@ -43,6 +43,11 @@ NEIGHBOURS = 25
 BLOCK = 64
 # Blocks looked at first; twice as many each time after.
 FIRST_BLOCKS = 4
+# Terms of more than this share of the examples are kept as dense rows too. There
+# are at most as many as a vector has terms on average, divided by the share.
+DENSE_SHARE = 0.25
+# Cosines that differ by less are taken as equal: rows are in single precision.
+ROUNDING = 1e-6
 SHARPNESS = 4.0
 PRIOR_WEIGHT = 1.0
 EVIDENCE = 3
@@ -86,9 +91,17 @@ class Index:
         self._shared: Broadcast | None = None
         self._ends = np.cumsum(self.sizes, dtype=np.int64)
         entry = np.repeat(self.blocks.astype(np.int32) * BLOCK, self.sizes) + self.offsets
-        per_term = np.diff(np.append(0, self._ends)[self.starts])
+        of_term = np.append(0, self._ends)[self.starts]
+        per_term = np.diff(of_term)
         self._weights = (1 + np.log(self.times)) / self.norms[entry] * np.repeat(self.term_weights, per_term)
         self._most = np.maximum.reduceat(self._weights, self._ends - self.sizes) if len(self.sizes) else np.zeros(0)
+        dense = np.flatnonzero(per_term > DENSE_SHARE * len(self.examples))
+        self._row = np.full(len(self.terms), -1)
+        self._row[dense] = np.arange(len(dense))
+        self._rows = np.zeros((len(dense), len(self.examples)), np.float32)
+        for row, term in enumerate(dense):
+            listed = slice(of_term[term], of_term[term + 1])
+            self._rows[row, entry[listed]] = self._weights[listed]
 
     def __getstate__(self) -> bytes:
         fields = {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
@@ -131,6 +144,10 @@ class Index:
         share = np.repeat(query, last - first)
         block = self.blocks[lists]
         size = len(self.examples)
+        row = self._row[terms]
+        often = row >= 0
+        dense = query[often].astype(np.float32) @ self._rows[row[often]]
+        sparse = np.repeat(~often, last - first)
         reach = np.bincount(block, share * self._most[lists], minlength=-(-size // BLOCK))
         order = np.argsort(-reach, kind="stable")
         order = order[: np.count_nonzero(reach)]
@@ -139,23 +156,26 @@ class Index:
         while done < len(order):
             if len(cosines) >= NEIGHBOURS:
                 floor = cosines[NEIGHBOURS - 1]
-                if reach[order[done]] < floor - 1e-9:
+                if reach[order[done]] < floor - ROUNDING:
                     break
-                step = min(step, int(np.searchsorted(-reach[order[done:]], 1e-9 - floor, side="right")))
+                step = min(step, int(np.searchsorted(-reach[order[done:]], ROUNDING - floor, side="right")))
             now = np.zeros(len(reach), bool)
             now[order[done : done + step]] = True
             done, step = done + step, step * 2
-            some = np.flatnonzero(now[block])
+            some = np.flatnonzero(now[block] & sparse)
             held, end = self.sizes[lists[some]], self._ends[lists[some]]
             rows = _ranges(end - held, end)
             entry = np.repeat(block[some].astype(np.int64) * BLOCK, held) + self.offsets[rows]
             sums = np.bincount(entry, np.repeat(share[some], held) * self._weights[rows], minlength=size)
+            sums = sums + np.where(np.repeat(now, BLOCK)[:size], dense, 0)
             hits = np.flatnonzero(sums > 0)
+            if len(hits) > NEIGHBOURS:
+                hits = hits[sums[hits] >= np.partition(sums[hits], -NEIGHBOURS)[-NEIGHBOURS] - ROUNDING]
             entries, cosines = np.append(entries, hits), np.append(cosines, np.minimum(sums[hits], 1.0))
             best = np.lexsort((entries, -cosines))
             entries, cosines = entries[best], cosines[best]
             if len(cosines) > NEIGHBOURS:
-                kept = cosines >= cosines[NEIGHBOURS - 1] - 1e-9
+                kept = cosines >= cosines[NEIGHBOURS - 1] - ROUNDING
                 entries, cosines = entries[kept], cosines[kept]
         return entries, cosines
 

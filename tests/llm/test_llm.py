@@ -320,8 +320,10 @@ def vector_rows(n, terms, seed=2, each=4):
     ]
 
 
+@pytest.mark.parametrize("dense_share", [0.0, 0.13, 1.0])
 @pytest.mark.parametrize("plain_share", [1.0, 0.05])
-def test_block_max_search_is_exact(plain_share):
+def test_block_max_search_is_exact(plain_share, dense_share, monkeypatch):
+    monkeypatch.setattr(toxicity, "DENSE_SHARE", dense_share)
     rng = np.random.default_rng(2)
     rows = vector_rows(900, 30)
     weights = (rng.random(30) + 1) * np.where(np.arange(30) < 5, 1.0, plain_share)
@@ -339,11 +341,11 @@ def test_block_max_search_is_exact(plain_share):
         query[terms] = toxicity._unit(terms, times, weights)
         every = dense @ query
         entries, cosines = index.nearest(terms, times)
-        assert np.allclose(cosines, every[entries]) and np.all(np.diff(cosines) <= 0)
+        assert np.allclose(cosines, every[entries], atol=1e-6) and np.all(np.diff(cosines) <= 0)
         # As many as are asked for, and all that tie with the last.
         last = np.sort(every)[-toxicity.NEIGHBOURS]
-        assert set(np.flatnonzero(every > last + 1e-6)) <= set(entries) and len(entries) >= toxicity.NEIGHBOURS
-        assert set(entries) <= set(np.flatnonzero(every > last - 1e-6))
+        assert set(np.flatnonzero(every > last + 2e-6)) <= set(entries) and len(entries) >= toxicity.NEIGHBOURS
+        assert set(entries) <= set(np.flatnonzero(every > last - 2e-6))
 
 
 def test_an_example_has_no_vote_for_itself():
