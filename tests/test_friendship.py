@@ -158,3 +158,35 @@ def test_empty_graph(spark):
     assert questions.mutual_friend_counts(nothing).count() == 0
     pairs = spark.createDataFrame([(1, 2)], schemas.PAIRS)
     assert questions.mutual_friends(nothing, pairs).count() == 0
+
+
+@pytest.mark.parametrize("name", list(GRAPHS))
+def test_long_lists_are_met_in_pieces(spark, monkeypatch, name):
+    monkeypatch.setattr(friendship, "LIST_ROWS", 3)
+    arcs = GRAPHS[name]
+    listed = {}
+    for user, friend in arcs:
+        listed.setdefault(user, set()).add(friend)
+    users = sorted(listed)[:9]
+    asked = [(x, y) for x in users for y in users if x < y]
+    given = edges(spark, arcs + arcs[:20])
+    pieces = friendship._list_pieces(given)
+    assert pieces.agg(F.max(F.size("friends"))).first()[0] < max(map(len, listed.values()))
+    got = [tuple(r) for r in friendship.common_friends(given, spark.createDataFrame(asked, schemas.PAIRS)).collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == {(x, y, w) for x, y in asked for w in listed[x] & listed[y]}
+
+
+def test_lists_of_asked_pairs_travel_as_lists(spark):
+    arcs = spark.createDataFrame(GRAPHS["random"], schemas.EDGES)
+    rows = friendship.common_friends(arcs, spark.createDataFrame([(1, 2)], schemas.PAIRS))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    # A row per pair and listed friend is not made: lists are met, then unfolded.
+    assert "collect_set" in plan and "array_intersect" in plan
+
+
+def test_distinct_edges_keeps_unknown_users_and_self_edges(spark):
+    arcs = [(1, 2), (2, 1), (1, 2), (3, 1), (4, 4), (4, 4), (None, 5), (5, None), (None, None), (-7, 2)]
+    got = friendship.distinct_edges(spark.createDataFrame(arcs, "user_id long, friend_id long"))
+    assert got.columns == ["user_id", "friend_id"]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(set(arcs), key=repr)
