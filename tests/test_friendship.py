@@ -185,6 +185,17 @@ def test_lists_of_asked_pairs_travel_as_lists(spark):
     assert "collect_set" in plan and "array_intersect" in plan
 
 
+@pytest.mark.parametrize("crowd, slice_rows", [(0, 1), (3, 3), (10**6, 2)])
+def test_any_users_may_be_crowded(spark, monkeypatch, crowd, slice_rows):
+    monkeypatch.setattr(friendship, "CROWD", crowd)
+    for arcs in (GRAPHS["random"], GRAPHS["star"]):
+        pairs = friendship.friend_pairs(edges(spark, arcs))
+        closed = friendship.closed_pairs(pairs, slice_rows)
+        counts = friendship.mutual_friend_counts(pairs, closed).collect()
+        assert len(counts) == len(mutual(arcs))
+        assert {(r.a, r.b): r.n for r in counts} == {p: len(s) for p, s in mutual(arcs).items()}
+
+
 def test_distinct_edges_keeps_unknown_users_and_self_edges(spark):
     arcs = [(1, 2), (2, 1), (1, 2), (3, 1), (4, 4), (4, 4), (None, 5), (5, None), (None, None), (-7, 2)]
     got = friendship.distinct_edges(spark.createDataFrame(arcs, "user_id long, friend_id long"))

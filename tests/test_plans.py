@@ -190,6 +190,18 @@ def test_crowded_users_and_pairs_are_split_in_filters(spark, no_broadcast, tmp_p
     assert kept.count() == rows.where("a < b").count() == rows.count()
 
 
+def test_pairs_are_not_shuffled_to_be_ranked(spark, no_broadcast):
+    pairs = friendship.friend_pairs(edges(spark, star_arcs(300)))
+    text = final_plan(friendship.ranked_pairs(pairs))
+    assert "SortMergeJoin" not in text and text.count("BroadcastHashJoin") == 2
+
+
+def test_texts_join_pairs_that_stay_where_they_are(spark, no_broadcast):
+    text = final_plan(QUERIES["agg_mutual_list"](spark, SF_DIR))
+    top = text[text.index("SortMergeJoin") :].split("Exchange")[0]
+    assert "LeftOuter" in top and "HashAggregate" in top
+
+
 def test_library_runs_no_actions():
     words = r"\.(collect|toPandas|rdd|localCheckpoint|count|first|take|cache|persist)\b\(?"
     for path in (ROOT / "amity").rglob("*.py"):
