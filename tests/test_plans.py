@@ -202,6 +202,13 @@ def test_texts_join_pairs_that_stay_where_they_are(spark, no_broadcast):
     assert "LeftOuter" in top and "HashAggregate" in top
 
 
+def test_edges_of_asked_users_are_met_once(spark, no_broadcast):
+    df = questions.mutual_friends(views.friend_arcs(spark, SF_DIR), views.asked_pairs(spark, SF_DIR))
+    # Two shuffles by user, of all edges and of those kept, whoever reads them.
+    lines = [x for x in final_plan(df).splitlines() if "ReusedExchange" not in x]
+    assert len([x for x in lines if "Exchange hashpartitioning(~user_id" in x]) <= 2
+
+
 def test_library_runs_no_actions():
     words = r"\.(collect|toPandas|rdd|localCheckpoint|count|first|take|cache|persist)\b\(?"
     for path in (ROOT / "amity").rglob("*.py"):
