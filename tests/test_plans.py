@@ -190,6 +190,12 @@ def test_crowded_users_and_pairs_are_split_in_filters(spark, no_broadcast, tmp_p
     assert kept.count() == rows.where("a < b").count() == rows.count()
 
 
+def test_edges_are_not_sorted_to_meet_profiles(spark, no_broadcast):
+    for name in ("agg_max_friend_age", "join_friend_age", "join_friend_profile"):
+        text = final_plan(QUERIES[name](spark, SF_DIR))
+        assert re.search(r"ShuffledHashJoin.*LeftOuter, BuildRight", text)
+
+
 def test_pairs_are_not_shuffled_to_be_ranked(spark, no_broadcast):
     pairs = friendship.friend_pairs(edges(spark, star_arcs(300)))
     text = final_plan(friendship.ranked_pairs(pairs))
