@@ -196,6 +196,11 @@ def test_edges_are_not_sorted_to_meet_profiles(spark, no_broadcast):
         assert re.search(r"ShuffledHashJoin.*LeftOuter, BuildRight", text)
 
 
+def test_lines_are_not_sorted_to_meet_orders(spark, no_broadcast):
+    text = final_plan(QUERIES["agg_max_friend_age"](spark, SF_DIR))
+    assert re.search(r"ShuffledHashJoin \[l_orderkey.*BuildRight", text)
+
+
 def test_pairs_are_not_shuffled_to_be_ranked(spark, no_broadcast):
     pairs = friendship.friend_pairs(edges(spark, star_arcs(300)))
     text = final_plan(friendship.ranked_pairs(pairs))
