@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import split_fields, to_integer
+from ..operators.friendship import distinct_edges
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -54,7 +55,7 @@ def parse_adjacency(lines: DataFrame, distinct: bool = True) -> DataFrame:
         .select("user_id", to_integer(F.col("friend")).alias("friend_id"))
         .where(F.col("user_id") != F.col("friend_id"))
     )
-    return edges.distinct() if distinct else edges
+    return distinct_edges(edges) if distinct else edges
 
 
 def read_adjacency(

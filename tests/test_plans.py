@@ -6,6 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from amity import sources
 from amity.operators import friendship, people
 from amity.plans import questions
 from catalog import views
@@ -220,6 +221,11 @@ def test_edges_of_asked_users_are_met_once(spark, no_broadcast):
     assert len([x for x in lines if "Exchange hashpartitioning(~user_id" in x]) <= 2
 
 
+def test_adjacency_is_made_distinct_by_pair(spark):
+    lines = spark.createDataFrame([("1\t2,3",), ("2\t1",)], "value string")
+    assert "partial_bit_or" in plan(sources.parse_adjacency(lines))
+
+
 def test_library_runs_no_actions():
     words = r"\.(collect|toPandas|rdd|localCheckpoint|count|first|take|cache|persist)\b\(?"
     for path in (ROOT / "amity").rglob("*.py"):
