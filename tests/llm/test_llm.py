@@ -638,6 +638,22 @@ def test_interval_expansion_against_brute_force():
     assert alone[0].tolist() == [0, 1, 2]
 
 
+@pytest.mark.parametrize("bits", [21, 3])
+def test_suffixes_are_ordered_and_parted(monkeypatch, bits):
+    monkeypatch.setattr(substrings, "_PLACE_BITS", bits)
+    rng = random.Random(bits)
+    for length in (1, 5, 6, 9, 40, 70) * 4:
+        text = bytes(rng.choice(b"ab") for _ in range(90)) * 2 + b"a" * rng.randrange(99) + b"\xff"
+        data = np.frombuffer(text, np.uint8)
+        order, ends, known = substrings.sorted_suffixes(data, length)
+        assert known <= length and sorted(order.tolist()) == list(range(len(text)))
+        heads = [text[i : i + length] for i in order]
+        assert [h for h in heads if len(h) == length] == sorted(h for h in heads if len(h) == length)
+        run = np.cumsum(substrings.parted(data, order, ends, known, length)).tolist()
+        full = [(r, h) for r, h in zip(run, heads) if len(h) == length and 0xFF not in h]
+        assert len(set(full)) == len({r for r, _ in full}) == len({h for _, h in full})
+
+
 @pytest.mark.parametrize("key_bytes, few", [(substrings.KEY_BYTES, 9), (2000, 100_000), (0, 0)])
 def test_crowded_keys_are_dealt_anew(spark, monkeypatch, key_bytes, few):
     monkeypatch.setattr(substrings, "KEY_BYTES", key_bytes)
