@@ -31,6 +31,9 @@ RATE = 0.5
 STEP_TOKENS = 4096
 WEIGHT_ROWS = 1 << 10
 
+# Rows of the table that this many tokens of a step have, or fewer, are summed place by place.
+SHORT_RUN = 6
+
 # Tasks whose weights are averaged in one group first.
 PIECES = 128
 ADDED = 0.1
@@ -174,11 +177,29 @@ def _step(w: np.ndarray, b: np.ndarray, rows: np.ndarray, target: np.ndarray, us
     flat = flat[order].astype(np.int64)
     first = np.flatnonzero(np.diff(flat, prepend=-1))
     touched = flat[first]
-    sums = np.add.reduceat(error[order % len(target)], first, axis=0)
-    used[touched] += np.diff(np.append(first, len(order)))
+    often = np.diff(np.append(first, len(order)))
+    sums = _sums(error.take(order % len(target), axis=0), first, often)
+    used[touched] += often
     w[touched] -= RATE * sums / (np.sqrt(used[touched]) * 2 + 1)[:, None]
 
 
+def _sums(rows: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of runs of rows. Most runs are short: what is at one place in them is added at once."""
+    out = rows.take(first, axis=0)
+    # The first row is added last, as `reduceat` does: the weights stay the same to the bit.
+    short = np.flatnonzero((sizes > 1) & (sizes <= SHORT_RUN))
+    rest = rows.take(first[short] + 1, axis=0)
+    for at in range(2, SHORT_RUN):
+        more = np.flatnonzero(sizes[short] > at)
+        rest[more] += rows.take(first[short[more]] + at, axis=0)
+    out[short] += rest
+    long = sizes > SHORT_RUN
+    if long.any():
+        held = sizes[long]
+        out[long] = np.add.reduceat(rows[np.repeat(long, sizes)], np.cumsum(held) - held, axis=0)
+    return out
+
+
 def scored(docs: DataFrame, held_out_of: int = 10) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per row.
 

@@ -585,6 +585,15 @@ def test_viterbi_is_the_best_path():
         assert value(row, path) == pytest.approx(best)
 
 
+def test_sums_of_runs_are_those_of_one_run_each():
+    rng = np.random.default_rng(1)
+    sizes = np.append(rng.integers(1, 12, 300), [500, 1, 6, 7])
+    first = np.cumsum(sizes) - sizes
+    rows = rng.normal(size=(sizes.sum(), 32)).astype(np.float32)
+    assert (maxent._sums(rows, first, sizes) == np.add.reduceat(rows, first, axis=0)).all()
+    assert (maxent._sums(rows[:5], np.arange(5), np.ones(5, np.int64)) == rows[:5]).all()
+
+
 def test_base_scores_and_model(spark, odd, empty):
     rng = random.Random(8)
     rows = [(i, words(80, seed=rng.randrange(10**6), of=400) + " Ünder THE\x0b\x1cthe") for i in range(150)]
