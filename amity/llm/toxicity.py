@@ -20,6 +20,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain, islice
 from statistics import NormalDist
 
 import numpy as np
@@ -41,8 +42,10 @@ PREFIXES = (3, 4, 5, 6)
 PLAIN_SHARE = 0.05
 NEIGHBOURS = 25
 BLOCK = 64
-# Blocks looked at first; twice as many each time after.
-FIRST_BLOCKS = 4
+# Blocks looked at first, and how many times as many each time after: each time costs a look
+# at all lists of the query.
+FIRST_BLOCKS = 32
+MORE_BLOCKS = 4
 # Terms of more than this share of the examples are kept as dense rows too. There
 # are at most as many as a vector has terms on average, divided by the share.
 DENSE_SHARE = 0.25
@@ -91,6 +94,7 @@ class Index:
         self._shared: Broadcast | None = None
         self._ends = np.cumsum(self.sizes, dtype=np.int64)
         entry = np.repeat(self.blocks.astype(np.int32) * BLOCK, self.sizes) + self.offsets
+        self._entry = entry
         of_term = np.append(0, self._ends)[self.starts]
         per_term = np.diff(of_term)
         self._weights = (1 + np.log(self.times)) / self.norms[entry] * np.repeat(self.term_weights, per_term)
@@ -99,9 +103,12 @@ class Index:
         self._row = np.full(len(self.terms), -1)
         self._row[dense] = np.arange(len(dense))
         self._rows = np.zeros((len(dense), len(self.examples)), np.float32)
+        self._rows_most = np.zeros((len(dense), -(-len(self.examples) // BLOCK)))
         for row, term in enumerate(dense):
             listed = slice(of_term[term], of_term[term + 1])
             self._rows[row, entry[listed]] = self._weights[listed]
+            blocks = slice(self.starts[term], self.starts[term + 1])
+            self._rows_most[row, self.blocks[blocks]] = self._most[blocks]
 
     def __getstate__(self) -> bytes:
         fields = {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
@@ -139,16 +146,18 @@ class Index:
     def nearest(self, terms: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The nearest entries and their cosines, all that tie with the last included."""
         query = _unit(terms, times, self.term_weights)
-        first, last = self.starts[terms], self.starts[terms + 1]
-        lists = _ranges(first, last)
-        share = np.repeat(query, last - first)
-        block = self.blocks[lists]
         size = len(self.examples)
         row = self._row[terms]
         often = row >= 0
-        dense = query[often].astype(np.float32) @ self._rows[row[often]]
-        sparse = np.repeat(~often, last - first)
-        reach = np.bincount(block, share * self._most[lists], minlength=-(-size // BLOCK))
+        common, row, rare = query[often], row[often], terms[~often]
+        dense = common.astype(np.float32) @ self._rows.take(row, axis=0)
+        first, last = self.starts[rare], self.starts[rare + 1]
+        lists = _ranges(first, last)
+        share = np.repeat(query[~often], last - first)
+        block = self.blocks.take(lists)
+        reach = np.bincount(block, share * self._most.take(lists), minlength=-(-size // BLOCK))
+        reach = reach + common @ self._rows_most.take(row, axis=0)
+        held, end = self.sizes.take(lists), self._ends.take(lists)
         order = np.argsort(-reach, kind="stable")
         order = order[: np.count_nonzero(reach)]
         entries, cosines = np.zeros(0, np.int64), np.zeros(0)
@@ -161,12 +170,12 @@ class Index:
                 step = min(step, int(np.searchsorted(-reach[order[done:]], ROUNDING - floor, side="right")))
             now = np.zeros(len(reach), bool)
             now[order[done : done + step]] = True
-            done, step = done + step, step * 2
-            some = np.flatnonzero(now[block] & sparse)
-            held, end = self.sizes[lists[some]], self._ends[lists[some]]
-            rows = _ranges(end - held, end)
-            entry = np.repeat(block[some].astype(np.int64) * BLOCK, held) + self.offsets[rows]
-            sums = np.bincount(entry, np.repeat(share[some], held) * self._weights[rows], minlength=size)
+            done, step = done + step, step * MORE_BLOCKS
+            some = np.flatnonzero(now.take(block))
+            many, stop = held.take(some), end.take(some)
+            rows = _ranges(stop - many, stop)
+            each = np.repeat(share.take(some), many) * self._weights.take(rows)
+            sums = np.bincount(self._entry.take(rows), each, minlength=size)
             sums = sums + np.where(np.repeat(now, BLOCK)[:size], dense, 0)
             hits = np.flatnonzero(sums > 0)
             if len(hits) > NEIGHBOURS:
@@ -445,6 +454,7 @@ class _Memo(dict):
     def __init__(self, terms: np.ndarray) -> None:
         super().__init__()
         self.terms = terms
+        self.heads: dict[str, tuple[int, ...]] = {}
 
     def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Known terms of a text in order, and how often it has them."""
@@ -452,21 +462,31 @@ class _Memo(dict):
         if len(self) >= MEMO:
             self.clear()
         self._learn([w for w in words if w not in self])
-        found = [(t, n) for word, n in words.items() for t in self[word]]
-        if not found:
+        found = [self[word] for word in words]
+        each = np.fromiter(chain.from_iterable(found), np.int64)
+        if not len(each):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        terms, at = np.unique([t for t, _ in found], return_inverse=True)
-        return terms, np.bincount(at, [n for _, n in found]).astype(np.int64)
+        times = np.repeat(np.fromiter(words.values(), np.int64), np.fromiter(map(len, found), np.int64))
+        terms, at = np.unique(each, return_inverse=True)
+        return terms, np.bincount(at, times).astype(np.int64)
 
     def _learn(self, words: list[str]) -> None:
-        forms = [_terms(w) for w in words]
-        hashes = term_hashes(t for f in forms for t in f)
+        # Many words begin alike: what is known of a beginning is looked up once.
+        if len(self.heads) >= MEMO:
+            self.heads.clear()
+        fresh = list({h for h in (w[: PREFIXES[-1]] for w in words) if h not in self.heads})
+        forms = [_terms(h)[1:] for h in fresh]
+        hashes = term_hashes(chain((f"={w}" for w in words), chain.from_iterable(forms)))
         at = np.searchsorted(self.terms, hashes)
         known = at < len(self.terms)
         known[known] = self.terms[at[known]] == hashes[known]
-        numbers = iter(np.where(known, at, -1).tolist())
-        for word, form in zip(words, forms):
-            self[word] = tuple(t for t in (next(numbers) for _ in form) if t >= 0)
+        numbers = np.where(known, at, -1).tolist()
+        found = iter(numbers[len(words) :])
+        for head, form in zip(fresh, forms):
+            self.heads[head] = tuple(t for t in islice(found, len(form)) if t >= 0)
+        for word, number in zip(words, numbers):
+            head = self.heads[word[: PREFIXES[-1]]]
+            self[word] = (number, *head) if number >= 0 else head
 
 
 def _words(text: str | None) -> list[str]:

@@ -348,6 +348,22 @@ def test_block_max_search_is_exact(plain_share, dense_share, monkeypatch):
         assert set(entries) <= set(np.flatnonzero(every > last - 2e-6))
 
 
+def test_known_terms_are_those_of_each_word(monkeypatch):
+    vocabulary = [f"{a}{b}{'xyz'[:n]}" for a in ("alpha", "be", "gam") for b in ("", "q", "é") for n in range(4)]
+    hashed = {t: int(toxicity.term_hashes([t])[0]) for w in vocabulary[::2] for t in toxicity._terms(w)[::2]}
+    terms = np.sort(np.array(list(hashed.values()), np.uint64))
+    text = " ".join(vocabulary * 2 + vocabulary[::3])
+    want = Counter(
+        int(np.searchsorted(terms, np.uint64(hashed[t]))) for w in text.split() for t in toxicity._terms(w) if t in hashed
+    )
+    for memo in (toxicity.MEMO, 3):
+        monkeypatch.setattr(toxicity, "MEMO", memo)
+        known = toxicity._Memo(terms)
+        for _ in range(2):
+            found, times = known.counts(text)
+            assert dict(zip(found.tolist(), times.tolist())) == want and found.tolist() == sorted(want)
+
+
 def test_an_example_has_no_vote_for_itself():
     rows, terms = vector_rows(50, 30), np.arange(30, dtype=np.uint64)
     index = toxicity._indexed(rows, terms, np.ones(30), [1.0, 1.0])
