@@ -699,6 +699,15 @@ def test_crowded_keys_are_dealt_anew(spark, monkeypatch, key_bytes, few):
     assert {r.doc_id: bytes(r.kept) for r in substrings.without_repeats(docs).collect()} == want
 
 
+def test_few_spans_are_told_of_crowded_keys(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "KEY_BYTES", 0)
+    text = words(300, seed=1, of=5000)
+    docs = spark.createDataFrame([(1, 1, text), (2, 2, text)], "_id long, _hash long, text string")
+    got = {r.id: r.spans for r in substrings.repeated_spans(docs).collect()}
+    assert [substrings.merged(got[i]) for i in (1, 2)] == [[(0, len(text))]] * 2
+    assert max(map(len, got.values())) < len(text) / 20
+
+
 def test_hashes_of_grams_of_any_length():
     data = np.frombuffer(b"abcabcabd" * 60, np.uint8)
     for gram in (1, 2, 3, 32, 33, 200, 384, 400):
