@@ -18,6 +18,10 @@
 Hashes only stand for nodes and rests on the way: the pairs that are found are
 compared as texts at last. There are as many levels as symbols in the longest
 beginning that more than FEW words share.
+
+Spark sizes what a Python function or an unfolded array gives by what they read,
+and a table by its compressed file, many times too low here. So tables are
+merged by key, and only states that were measured to be few are broadcast.
 """
 
 from __future__ import annotations
@@ -45,6 +49,9 @@ HELD_WORDS = 500_000
 # Up to so many words behind an edge are told by their rests.
 FEW = 8
 
+# States of a level that hold up to so many bytes are sent to all nodes.
+SENT_BYTES = 4_000_000
+
 _PRIME = (1 << 61) - 1
 _BASE = 0x1D8AF06A9E3779B7 % _PRIME
 _ENDS = 62
@@ -105,24 +112,28 @@ def near_words(words: DataFrame) -> DataFrame:
     in_order = both.repartitionByRange("side", "u").sortWithinPartitions("side", "u")
     nodes = written(_nodes(in_order.mapInPandas(_edges, _EDGE)), "nodes")
     keyed = words.select("word", F.xxhash64("word").alias("key"))
-    met = in_order.mapInPandas(_starts, _START).join(
+    met = _merged(in_order.mapInPandas(_starts, _START)).join(
         nodes.where(F.size("kids") > 1), F.col("at_node") == F.col("node")
     )
     frontier = written(_edited(met), "frontier")
     found = [frontier.where("only IS NOT NULL").select("word_key", "only")]
     texts = keyed.select(F.col("key").alias("text_key"), "word")
-    states = frontier.where("only IS NULL").join(texts, F.col("word_key") == F.col("text_key")).select(
+    states = _merged(frontier.where("only IS NULL")).join(texts, F.col("word_key") == F.col("text_key")).select(
         "word_key",
         F.when(F.col("side") == 0, F.col("word")).otherwise(F.reverse("word")).alias("u"),
         "at",
         F.col("child").alias("at_node"),
     )
+    states = _merged(states)
     while True:
         frontier = written(_followed(states, nodes), "frontier")
         found.append(frontier.where("only IS NOT NULL").select("word_key", "only"))
         states = frontier.where("only IS NULL").select("word_key", "u", "at", F.col("child").alias("at_node"))
-        if states.isEmpty():
+        # Fixed columns and what a row takes beside them, and the text.
+        held = states.agg(F.sum(F.octet_length("u") + 100)).first()[0]
+        if not held:
             break
+        states = F.broadcast(states) if held <= SENT_BYTES else _merged(states)
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
@@ -131,7 +142,8 @@ def near_words(words: DataFrame) -> DataFrame:
     ).distinct()
     of_x = keyed.select(F.col("key").alias("key_x"), F.col("word").alias("word_x"))
     of_y = keyed.select(F.col("key").alias("key_y"), F.col("word").alias("word_y"))
-    named = pairs.join(of_x, F.col("x") == F.col("key_x")).join(of_y, F.col("y") == F.col("key_y"))
+    named = pairs.join(_merged(of_x), F.col("x") == F.col("key_x"))
+    named = named.join(_merged(of_y), F.col("y") == F.col("key_y"))
     return named.where(F.levenshtein("word_x", "word_y", 1) == 1).select(
         F.least("word_x", "word_y").alias("a"), F.greatest("word_x", "word_y").alias("b")
     )
@@ -155,7 +167,7 @@ def variants(words: DataFrame, ratio: int = RATIO) -> DataFrame:
         )
     )
     near = (
-        arcs.join(counts, F.col("right") == F.col("of"))
+        arcs.join(_merged(counts), F.col("right") == F.col("of"))
         .groupBy("left")
         .agg(
             F.count("*").alias("n_near"),
@@ -166,7 +178,7 @@ def variants(words: DataFrame, ratio: int = RATIO) -> DataFrame:
     most = -F.col("best.less")
     good = most >= ratio * F.col("n")
     named = written(
-        words.join(near, F.col("word") == F.col("left"), "left").select(
+        words.join(_merged(near), F.col("word") == F.col("left"), "left").select(
             "word",
             "n",
             F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"),
@@ -177,11 +189,16 @@ def variants(words: DataFrame, ratio: int = RATIO) -> DataFrame:
     )
     roots = _roots(named.where("form IS NOT NULL").select("word", F.col("form").alias("root")))
     roots = roots.select(F.col("word").alias("of"), "root")
-    return named.join(roots, F.col("word") == F.col("of"), "left").select(
+    return named.join(_merged(roots), F.col("word") == F.col("of"), "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
     )
 
 
+def _merged(df: DataFrame) -> DataFrame:
+    """`df`, to be sorted and merged by the key of its join and never broadcast."""
+    return df.hint("merge")
+
+
 def _roots(forms: DataFrame) -> DataFrame:
     """Forms followed to their last; each round doubles the steps taken.
 
@@ -192,7 +209,7 @@ def _roots(forms: DataFrame) -> DataFrame:
     while True:
         above = forms.select(F.col("word").alias("up"), F.col("root").alias("up_root"))
         moved = written(
-            forms.join(above, F.col("root") == F.col("up"), "left").select(
+            forms.join(_merged(above), F.col("root") == F.col("up"), "left").select(
                 "word", F.coalesce("up_root", "root").alias("root"), F.col("up_root").isNotNull().alias("moved")
             ),
             "roots",

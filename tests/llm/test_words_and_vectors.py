@@ -227,3 +227,30 @@ def test_codes_of_few_rows(spark):
     assert books.shape == (16, 3, 1) and {(r.code, r.error) for r in made.collect()} == {("00" * 16, 0)}
     made, _ = codes.coded(spark.createDataFrame([(1, [0.1] * 15, None, "x", 1)], VECTORS))
     assert made.first().code is None
+
+
+def test_tables_of_words_are_not_broadcast(spark, monkeypatch):
+    plans = []
+    write = spelling.written
+
+    def written(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(spelling, "written", written)
+    # Many words share long beginnings, so there are levels with states.
+    stems = [a + b + c for a in ("inter", "under") for b in ("national", "nation") for c in "abcdefghij"]
+    words = [stem + end for stem in stems for end in ("", "a", "ab", "ba", "b", "bab", "s", "st", "sts", "ss")]
+    df = spark.createDataFrame([(w, i % 7 + 3) for i, w in enumerate(words)], "word string, n long")
+    answers = []
+    for most in (0, 4_000_000):
+        monkeypatch.setattr(spelling, "SENT_BYTES", most, raising=False)
+        plans.clear()
+        told = spelling.variants(df)
+        plans.append(told._jdf.queryExecution().executedPlan().toString())
+        answers.append(sorted(map(tuple, told.collect()), key=repr))
+        sent = [p for p in plans if "BroadcastHashJoin" in p]
+        # Only states that were measured to be few go to all tasks.
+        assert len(plans) > 6 and bool(sent) == bool(most)
+        assert all("u#" in p.split("BroadcastExchange")[1] and "MapInPandas" not in p for p in sent)
+    assert answers[0] == answers[1] and len(answers[0]) == len(words)
