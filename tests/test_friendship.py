@@ -201,3 +201,22 @@ def test_distinct_edges_keeps_unknown_users_and_self_edges(spark):
     got = friendship.distinct_edges(spark.createDataFrame(arcs, "user_id long, friend_id long"))
     assert got.columns == ["user_id", "friend_id"]
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(set(arcs), key=repr)
+
+
+def test_lists_are_read_on_for_pairs_that_list_each_other(spark, monkeypatch):
+    # 1 and 2 list each other, 3 lists 4 only, 5 and 6 are strangers. Edges come twice.
+    arcs = [(1, 2), (2, 1), (1, 9), (2, 9), (3, 4), (3, 9), (4, 9), (5, 9), (6, 9), (1, 1), (None, 9), (2, None)] * 2
+    met = []
+    in_both_lists = friendship._in_both_lists
+
+    def seen(pairs, own):
+        met.append({tuple(r) for r in own.collect()})
+        return in_both_lists(pairs, own)
+
+    monkeypatch.setattr(friendship, "_in_both_lists", seen)
+    given = spark.createDataFrame(arcs, "user_id long, friend_id long")
+    pairs = spark.createDataFrame([(2, 1), (1, 2), (3, 4), (5, 6), (None, 1)], "a long, b long")
+    friends, rows = friendship.asked_friends(given, pairs)
+    assert met == [{(1, 2), (2, 1), (1, 9), (2, 9)}]
+    assert sorted(map(tuple, friends.collect())) == [(1, 2, 3), (3, 4, 1)]
+    assert [tuple(r) for r in rows.collect()] == [(1, 2, 9)]
